@@ -7,7 +7,7 @@ is shuffled, in batch and on a stream alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.functions.arrays import bind, running_totals
@@ -45,30 +45,49 @@ def line_spans(chunked: DataFrame, true: bool = True) -> DataFrame:
     its newlines plus one, so they run ahead by one line per chunk.
     ``true_start``/``true_end`` are the real 1-based lines in the file.
     """
-    counts = {"_newlines": F.transform("chunks", newline_count)}
-    if true:
-        counts["_lines"] = bind(
-            only_newlines(F.col("content")),
-            lambda plain: F.transform("chunks", lambda c: line_count(c, plain)),
-        )
-    counted = chunked.withColumns(counts)
-    starts = {"_starts": running_totals(F.transform("_newlines", lambda n: n + 1))}
-    if true:
-        starts["_true_starts"] = running_totals(F.col("_lines"))
-    started = counted.withColumns(starts)
-
-    def span(s):
-        fields = [
-            (s["_starts"] + 1).alias("start_line"),
-            (s["_starts"] + 1 + s["_newlines"]).alias("end_line"),
-        ]
-        if true:
-            fields.append((s["_true_starts"] + 1).alias("true_start"))
-            fields.append((s["_true_starts"] + s["_lines"]).alias("true_end"))
-        return F.struct(*fields)
-
-    parts = ["_starts", "_newlines"] + (["_true_starts", "_lines"] if true else [])
-    return started.withColumn("spans", F.transform(F.arrays_zip(*parts), span)).drop(*parts)
+    counted = chunked.withColumn("_newlines", F.transform("chunks", newline_count))
+    totals = running_totals(F.transform("_newlines", lambda n: n + 1))
+    if not true:
+        started = counted.withColumn("_starts", totals)
+        spans = F.transform(F.arrays_zip("_starts", "_newlines"), _reported_span)
+        return started.withColumn("spans", spans).drop("_starts", "_newlines")
+    # Where LF ends every line, the reported numbers run ahead by exactly one
+    # line per earlier chunk; other texts have their lines counted.
+    started = counted.withColumns(
+        {"_starts": totals, "_plain": only_newlines(F.col("content"))}
+    )
+    lines_ = bind(
+        F.col("_plain"),
+        lambda plain: F.transform("chunks", lambda c: line_count(c, plain)),
+    )
+    located = started.withColumn("_lines", lines_).withColumn(
+        "_true_starts",
+        F.when(F.col("_plain"), F.transform("_starts", lambda s, k: s - k)).otherwise(
+            running_totals(F.col("_lines"))
+        ),
+    )
+    spans = F.transform(
+        F.arrays_zip("_starts", "_newlines", "_true_starts", "_lines"), _true_span
+    )
+    return located.withColumn("spans", spans).drop(
+        "_starts", "_newlines", "_true_starts", "_lines", "_plain"
+    )
+
+
+def _reported_span(row: Column) -> Column:
+    return F.struct(
+        (row["_starts"] + 1).alias("start_line"),
+        (row["_starts"] + 1 + row["_newlines"]).alias("end_line"),
+    )
+
+
+def _true_span(row: Column) -> Column:
+    return F.struct(
+        (row["_starts"] + 1).alias("start_line"),
+        (row["_starts"] + 1 + row["_newlines"]).alias("end_line"),
+        (row["_true_starts"] + 1).alias("true_start"),
+        (row["_true_starts"] + row["_lines"]).alias("true_end"),
+    )
 
 
 def explode_chunks(chunked: DataFrame, *arrays: str) -> DataFrame:

@@ -14,6 +14,8 @@ from chunkloom.operators.chunking import chunk, explode_chunks, line_spans
 from chunkloom.operators.fingerprint import fingerprint
 from chunkloom.operators.sync import SIMULATED_KNOWN_ROOTS, sync
 
+_TRUE_LINES = ("true_start", "true_end")
+
 
 def describe_chunks(
     files: DataFrame,
@@ -21,14 +23,17 @@ def describe_chunks(
     mode: str = "line",
     pattern: str | None = None,
     fails: Callable[[Column], Column] = fail_when,
+    true_lines: bool = False,
 ) -> DataFrame:
     """One narrow row per chunk with everything that depends on the file alone.
 
     The text stays behind: ids, hashes, previews and flags are taken from it
     here, before any join, so that no later shuffle carries content.
+    ``true_lines`` adds the real line numbers to the reported ones.
     """
     prepared = fingerprint(chunk(files.select("path", "content"), mode, pattern))
-    prepared = line_spans(prepared).withColumn("pseudonym", obfuscate_path(F.col("path"), key))
+    prepared = line_spans(prepared, true=true_lines)
+    prepared = prepared.withColumn("pseudonym", obfuscate_path(F.col("path"), key))
     rows = explode_chunks(prepared, "chunk_hashes", "spans")
     text, pseudonym = F.col("chunk"), F.col("pseudonym")
     return rows.select(
@@ -40,8 +45,7 @@ def describe_chunks(
         content_preview(text).alias("content_preview"),
         "start_line",
         "end_line",
-        "true_start",
-        "true_end",
+        *(_TRUE_LINES if true_lines else ()),
         fails(text).alias("fails"),
         embedding_id(text, pseudonym, F.col("start_line"), F.col("end_line")).alias("sent_id"),
         cached_id(text, pseudonym, F.col("chunk_index")).alias("cached_id"),
@@ -64,8 +68,7 @@ def route(described: DataFrame) -> DataFrame:
         F.when(cached, "cached").when(failed, "failed").otherwise("processed").alias("status"),
         "start_line",
         "end_line",
-        "true_start",
-        "true_end",
+        *[c for c in _TRUE_LINES if c in described.columns],
         "chunk_hash",
         "root_hash",
     )
@@ -78,13 +81,14 @@ def index_chunks(
     mode: str = "line",
     pattern: str | None = None,
     fails: Callable[[Column], Column] = fail_when,
+    true_lines: bool = False,
 ) -> DataFrame:
     """Index ``(path, content)`` files against the roots already in sync.
 
     Chunks of a known root are ``cached``.  The others are ``processed``, or
     ``failed`` with a null id where ``fails`` holds for the text.
     """
-    described = describe_chunks(files, key, mode, pattern, fails)
+    described = describe_chunks(files, key, mode, pattern, fails, true_lines)
     return route(sync(described, known_roots, salt_on=("path", "chunk_index")))
 
 

@@ -26,10 +26,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, path, content)``: every document rewritten as a source file."""
-    return documents(spark, sf_dir).select(
-        "doc_id", F.expr(_PATH).alias("path"), F.expr(_CONTENT).alias("content")
-    )
+    """``(doc_id, path, content)``: every document rewritten as a source file.
+
+    Exploding a one-element array computes the text once per row: a filter on
+    it is not pushed below, where it would compute it a second time.
+    """
+    content = F.explode(F.array(F.expr(_CONTENT))).alias("content")
+    return documents(spark, sf_dir).select("doc_id", F.expr(_PATH).alias("path"), content)
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,7 +257,8 @@ def oracle_sql() -> dict[str, str]:
                 "SELECT path, root_hash, k", "SELECT path, roots.root_hash AS root_hash, k"
             ).replace("USING (root_hash)", "ON k.root_hash = roots.root_hash"),
         ),
-        "index_chunks": _with(INDEX, "SELECT * FROM idx"),
+        "index_chunks": _with(INDEX, "SELECT * EXCLUDE (true_start, true_end) FROM idx"),
+        "index_true_lines": _with(INDEX, "SELECT * FROM idx"),
         "stored_index": _with(
             INDEX, "SELECT status, count(*) AS n_chunks, count(embedding_id) AS n_ids, "
             "count(DISTINCT original_file_path) AS n_files FROM idx GROUP BY status"

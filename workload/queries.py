@@ -150,6 +150,11 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_chunks(inputs.files(spark, sf_dir), inputs.known_roots(spark, sf_dir))
 
 
+def index_true_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = inputs.known_roots(spark, sf_dir)
+    return index_chunks(inputs.files(spark, sf_dir), known, true_lines=True)
+
+
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "index")
     write_index(index(spark, sf_dir), folder)
@@ -286,6 +291,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repo_labels": repo_labels,
         "sync_status": sync_status,
         "index_chunks": index,
+        "index_true_lines": index_true_lines,
         "stored_index": stored_index,
         "merged_indexes": merged_indexes,
         "summary": run_summary,
