@@ -27,7 +27,7 @@ _HEADER = rf"(?:class|def)[{INLINE_SPACE}]++[{WORD}][^):{TERMINATORS}]*+\)?:"
 
 # Printable ASCII never ends a line; testing it first skips most positions.
 _NOT_PRINTABLE = r"(?<![ -~])"
-_LINE_STARTS = rf"{_NOT_PRINTABLE}(?:(?m)^|(?<=[\x0b\x0c\x1c-\x1e]))"
+_LINE_STARTS = rf"{_NOT_PRINTABLE}(?:(?m)^|(?<=[\x0b\x0c\x1c-\x1e])(?!\z))"
 _CHUNK_STARTS = rf"{_NOT_PRINTABLE}(?<=[{TERMINATORS}])(?=[{INLINE_SPACE}]*+{_HEADER})"
 
 MODES = ("line", "top_level")
