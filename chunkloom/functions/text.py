@@ -7,6 +7,9 @@ a line.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,10 +28,13 @@ PYTHON_DEFS = rf"(?:class|def)[{SPACE}]++[{WORD}][^):]*+\)?:"
 # The same header kept inside one line, to be searched in a whole file at once.
 _HEADER = rf"(?:class|def)[{INLINE_SPACE}]++[{WORD}][^):{TERMINATORS}]*+\)?:"
 
-# Printable ASCII never ends a line; testing it first skips most positions.
-_NOT_PRINTABLE = r"(?<![ -~])"
-_LINE_STARTS = rf"{_NOT_PRINTABLE}(?:(?m)^|(?<=[\x0b\x0c\x1c-\x1e])(?!\z))"
-_CHUNK_STARTS = rf"{_NOT_PRINTABLE}(?<=[{TERMINATORS}])(?=[{INLINE_SPACE}]*+{_HEADER})"
+# Java's "^" knows every line end of Python but these; texts without them, nearly
+# all, are split with it, the others with an explicit look back at each place.
+_RARE_TERMINATORS = "\x0b\x0c\x1c\x1d\x1e"
+_LINE_STARTS = "(?m)^"
+_ANY_LINE_STARTS = rf"(?m)^|(?<=[{_RARE_TERMINATORS}])(?!\z)"
+_CHUNK_STARTS = rf"(?m)^(?=[{INLINE_SPACE}]*+{_HEADER})"
+_ANY_CHUNK_STARTS = rf"(?<=[{TERMINATORS}])(?=[{INLINE_SPACE}]*+{_HEADER})"
 
 MODES = ("line", "top_level")
 
@@ -43,10 +49,20 @@ def is_boundary(line: Column, pattern: str = PYTHON_DEFS) -> Column:
     return F.rlike(line, F.lit(rf"\A[{SPACE}]*+(?:{pattern})"))
 
 
+def _contains_any(text: Column, characters: str) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(c)) for c in characters])
+
+
+def _split(text: Column, usual: str, rare: str) -> Column:
+    return F.when(_contains_any(text, _RARE_TERMINATORS), F.split(text, rare)).otherwise(
+        F.split(text, usual)
+    )
+
+
 def split_lines(text: Column) -> Column:
     """Lines with their terminators kept; an empty text has no lines."""
     return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(text, _LINE_STARTS)
+        _split(text, _LINE_STARTS, _ANY_LINE_STARTS)
     )
 
 
@@ -63,11 +79,7 @@ def newline_count(text: Column) -> Column:
 
 def only_newlines(text: Column) -> Column:
     """True when LF is the only line terminator in the text."""
-    return ~(
-        F.rlike(text, F.lit(r"[\x0b-\x0d\x1c-\x1e\x85]"))
-        | F.contains(text, F.lit("\u2028"))
-        | F.contains(text, F.lit("\u2029"))
-    )
+    return ~_contains_any(text, _RARE_TERMINATORS + "\r\x85\u2028\u2029")
 
 
 def line_count(text: Column, plain: Column | None = None) -> Column:
@@ -139,7 +151,7 @@ def chunk_text(text: Column, mode: str = "line", pattern: str | None = None) ->
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if mode == "line" and pattern is None:
-        chunks = F.split(text, _CHUNK_STARTS)
+        chunks = _split(text, _CHUNK_STARTS, _ANY_CHUNK_STARTS)
     elif mode == "line":
         chunks = bind(
             split_lines(text),
@@ -157,7 +169,8 @@ def chunk_text(text: Column, mode: str = "line", pattern: str | None = None) ->
 
 def content_preview(text: Column, length: int = 50) -> Column:
     """The first characters on one line, always followed by three dots."""
-    return F.concat(F.translate(F.substring(text, 1, length), "\n", " "), F.lit("..."))
+    first = F.substring(text, 1, length)
+    return F.concat(F.replace(first, F.lit("\n"), F.lit(" ")), F.lit("..."))
 
 
 def repo_label(url: Column) -> Column:
