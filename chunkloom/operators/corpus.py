@@ -61,65 +61,75 @@ def number_rows(
 
 
 def _fold_block(block: Column, entries: Column, bits: int) -> Column:
-    """Root of one block.
+    """Root of one block of ``(pos, digest)`` entries, as a binary digest.
 
     The first block stops at its own root: if it is not full it is the only
     one.  Any other climbs all its levels, to line up with its full siblings.
     """
     return bind(
-        F.transform(F.array_sort(entries), lambda e: e["hash"]),
-        lambda h: fold_levels(
-            h, F.when(block == 0, tree_height(F.size(h))).otherwise(F.lit(bits))
+        F.transform(F.array_sort(entries), lambda e: F.lower(F.hex(e["digest"]))),
+        lambda h: F.unhex(
+            fold_levels(h, F.when(block == 0, tree_height(F.size(h))).otherwise(F.lit(bits)))
         ),
     )
 
 
-def reduce_blocks(
-    df: DataFrame, n_rows: int, within: Sequence[str] = (), bits: int = BLOCK_BITS
-) -> DataFrame:
-    """Fold ``(keys, pos, hash)`` rows to one ``(keys, root_hash)`` row per group.
-
-    ``pos`` counts from 0 without gaps in each group and ``n_rows`` is at least
-    the size of the largest group; it decides the number of rounds.
-    """
-    keys = list(within)
-    level = df.select(*keys, F.col("pos").cast("bigint").alias("pos"), "hash")
+def _reduce(level: DataFrame, n_rows: int, keys: list[str], bits: int) -> DataFrame:
+    """Fold ``(keys, pos, digest, n_leaves)`` until each group is one row."""
     remaining = max(n_rows - 1, 1).bit_length()
     while remaining > 0:
         blocks = (
             level.withColumn("_block", F.shiftright("pos", bits))
             .groupBy(*keys, "_block")
-            .agg(F.collect_list(F.struct("pos", "hash")).alias("_entries"))
+            .agg(
+                F.collect_list(F.struct("pos", "digest")).alias("_entries"),
+                F.sum("n_leaves").alias("n_leaves"),
+            )
         )
         level = blocks.select(
             *keys,
             F.col("_block").alias("pos"),
-            _fold_block(F.col("_block"), F.col("_entries"), bits).alias("hash"),
+            _fold_block(F.col("_block"), F.col("_entries"), bits).alias("digest"),
+            "n_leaves",
         )
         remaining -= bits
-    return level.select(*keys, F.col("hash").alias("root_hash"))
+    return level.select(*keys, F.lower(F.hex("digest")).alias("root_hash"), "n_leaves")
+
+
+def reduce_blocks(
+    df: DataFrame, n_rows: int, within: Sequence[str] = (), bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Fold ``(keys, pos, hash)`` rows to one ``(keys, root_hash, n_leaves)`` row per group.
+
+    ``pos`` counts from 0 without gaps in each group and ``n_rows`` is at least
+    the size of the largest group; it decides the number of rounds.
+    """
+    keys = list(within)
+    leaves = df.select(
+        *keys,
+        F.col("pos").cast("bigint").alias("pos"),
+        F.unhex("hash").alias("digest"),
+        F.lit(1).cast("bigint").alias("n_leaves"),
+    )
+    return _reduce(leaves, n_rows, keys, bits)
 
 
-def _leaves(df: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
-    """Hash before any shuffle: only 64 hex digits per text travel on."""
-    names = list(dict.fromkeys(columns))
-    return stage(df.select(*names, leaf_hash(F.col(text)).alias("hash")), "leaves")
+def _ordered_roots(
+    df: DataFrame, keys: list[str], order_by: Sequence[str], text: str, bits: int
+) -> DataFrame:
+    # Hashed before any shuffle: 32 bytes per text travel on, not the text.
+    names = list(dict.fromkeys([*keys, *order_by]))
+    leaves = stage(df.select(*names, F.unhex(leaf_hash(F.col(text))).alias("digest")), "leaves")
+    numbered = number_rows(leaves, [*order_by, "digest"], within=keys)
+    level = numbered.select(*keys, "pos", "digest", F.lit(1).cast("bigint").alias("n_leaves"))
+    return _reduce(level, leaves.count(), keys, bits)
 
 
 def group_roots(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], text: str, bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Root per group over its texts in order: ``(keys, root_hash, n_leaves)``."""
-    leaves = _leaves(df, [*keys, *order_by], text)
-    numbered = number_rows(leaves, [*order_by, "hash"], within=keys)
-    roots = reduce_blocks(numbered, leaves.count(), within=keys, bits=bits)
-    sizes = leaves.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_leaves"))
-    names = [f"_{k}" for k in keys]
-    sizes = sizes.toDF(*names, "n_leaves")
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return roots.join(sizes, match).select(*keys, "root_hash", "n_leaves")
+    return _ordered_roots(df, list(keys), order_by, text, bits)
 
 
 def corpus_root(
@@ -129,10 +139,8 @@ def corpus_root(
 
     The root of an empty table is null.
     """
-    leaves = _leaves(df, order_by, text)
-    numbered = number_rows(leaves, [*order_by, "hash"])
-    n_leaves = leaves.count()
-    root = reduce_blocks(numbered, n_leaves, bits=bits)
-    return root.agg(F.max("root_hash").alias("root_hash")).withColumn(
-        "n_leaves", F.lit(n_leaves).cast("bigint")
+    root = _ordered_roots(df, [], order_by, text, bits)
+    return root.agg(
+        F.max("root_hash").alias("root_hash"),
+        F.coalesce(F.max("n_leaves"), F.lit(0)).cast("bigint").alias("n_leaves"),
     )

@@ -224,11 +224,17 @@ def _write_tree(files: DataFrame, root: str) -> None:
     def write(batches: Iterator) -> Iterator:
         import os
 
+        import pyarrow.fs as pafs
+
+        if "://" in root:
+            store, base = pafs.FileSystem.from_uri(root)
+        else:
+            store, base = pafs.LocalFileSystem(), root
         for batch in batches:
             for row in batch.to_pylist():
-                target = os.path.join(root, row["path"])
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open(target, "wb") as f:
+                target = os.path.join(base, row["path"])
+                store.create_dir(os.path.dirname(target), recursive=True)
+                with store.open_output_stream(target) as f:
                     f.write(row["content"])
             yield batch.select(["path"])
 
