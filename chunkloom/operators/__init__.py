@@ -6,6 +6,7 @@ from chunkloom.operators.chunking import (
     explode_chunks,
     line_spans,
     lines,
+    matching_files,
     nonblank,
     with_chunks_only,
 )
@@ -38,6 +39,7 @@ __all__ = [
     "latest",
     "line_spans",
     "lines",
+    "matching_files",
     "merkle_nodes",
     "nonblank",
     "number_rows",

@@ -23,6 +23,13 @@ from chunkloom.functions.text import (
 )
 
 
+def matching_files(files: DataFrame, suffix: str = ".py", skip: str = ".git") -> DataFrame:
+    """Keep files whose name ends in ``suffix`` and that lie in no ``skip`` directory."""
+    parts = F.split("path", "/")
+    folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    return files.filter(F.endswith(F.col("path"), F.lit(suffix)) & ~F.array_contains(folders, skip))
+
+
 def nonblank(files: DataFrame) -> DataFrame:
     """Drop files that hold nothing but white space."""
     return files.filter(has_text(F.col("content")))

@@ -122,7 +122,15 @@ def _ordered_roots(
     leaves = stage(df.select(*names, F.unhex(leaf_hash(F.col(text))).alias("digest")), "leaves")
     numbered = number_rows(leaves, [*order_by, "digest"], within=keys)
     level = numbered.select(*keys, "pos", "digest", F.lit(1).cast("bigint").alias("n_leaves"))
-    return _reduce(level, leaves.count(), keys, bits)
+    return _reduce(level, _largest_group(leaves, keys), keys, bits)
+
+
+def _largest_group(leaves: DataFrame, keys: list[str]) -> int:
+    """Size of the largest group, so that small groups get no idle rounds."""
+    if not keys:
+        return leaves.count()
+    sizes = leaves.groupBy(*keys).count()
+    return sizes.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
 
 
 def group_roots(

@@ -29,7 +29,7 @@ def compare(spark, db, sf_dir, name):
     """None when both give the same bag of rows, else what differs."""
     result = entry.queries()[name](spark, sf_dir)
     got = result.toArrow()
-    want = db.execute(entry.oracle_sql()[name]).fetch_arrow_table()
+    want = db.sql(entry.oracle_sql()[name]).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {got.column_names} and {want.column_names}"
     columns = sorted(got.column_names)

@@ -4,6 +4,7 @@ import models
 import pytest
 from pyspark.sql import functions as F
 
+from chunkloom.operators import matching_files
 from chunkloom.plans import index_chunks
 from chunkloom.sources import (
     decode_files,
@@ -56,6 +57,11 @@ def test_listing(spark, tree):
     assert len(rows) == len(KEPT)
 
 
+def test_same_choice_on_a_table_of_paths(spark):
+    df = spark.createDataFrame([(p,) for p in [*TREE, ".git/z.py", "a.git", "x/.git"]], "path string")
+    assert {r.path for r in matching_files(df).collect()} == KEPT
+
+
 def test_listing_by_address(spark, tree):
     rows = list_source_tree(spark, "file://" + tree + "/pkg.git").collect()
     assert [r.path for r in rows] == ["file://" + tree + "/pkg.git/q.py"]

@@ -10,6 +10,11 @@ from chunkloom.sources import read_spread
 
 _PATH = "concat('repo/', source, '/', lang, '/doc_', doc_id, '.py')"
 
+_MIXED_PATH = """
+concat(source, CASE doc_id % 4 WHEN 0 THEN '/.git/' WHEN 1 THEN '/pkg.git/' ELSE '/' END,
+  'doc_', doc_id, CASE doc_id % 3 WHEN 0 THEN '.txt' WHEN 1 THEN '.PY' ELSE '.py' END)
+"""
+
 # Each line of a document becomes code: a function, a class or a plain line.
 _CONTENT = r"""
 CASE WHEN doc_id % 50 = 7 THEN '  \n' ELSE concat(
@@ -35,6 +40,11 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.expr(_PATH).alias("path"), content)
 
 
+def mixed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(path, n_chars)`` with other suffixes and repository folders in between."""
+    return documents(spark, sf_dir).select(F.expr(_MIXED_PATH).alias("path"), "n_chars")
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_files(spark, sf_dir).select("path", "content")
 

@@ -191,6 +191,12 @@ def oracle_sql() -> dict[str, str]:
     chunks = f"{_FILES}, {_chunks()}"
     roots = f"{chunks}, {_roots()}"
     return {
+        "matching_files": """
+            SELECT path, n_chars FROM (SELECT concat(source,
+                CASE doc_id % 4 WHEN 0 THEN '/.git/' WHEN 1 THEN '/pkg.git/' ELSE '/' END,
+                'doc_', doc_id, CASE doc_id % 3 WHEN 0 THEN '.txt' WHEN 1 THEN '.PY' ELSE '.py' END)
+                AS path, n_chars FROM documents)
+            WHERE suffix(path, '.py') AND NOT contains(path, '/.git/')""",
         "nonblank_files": _with(
             _FILES, r"SELECT path, content FROM files WHERE regexp_matches(content, '\S')"
         ),

@@ -29,6 +29,7 @@ from chunkloom.operators import (
     group_roots,
     line_spans,
     lines,
+    matching_files,
     merkle_nodes,
     nonblank,
     pending_chunks,
@@ -50,6 +51,10 @@ from chunkloom.streaming import read_file_stream, read_stream_index, stream_inde
 from workload import inputs
 
 
+def matched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching_files(inputs.mixed_paths(spark, sf_dir))
+
+
 def nonblank_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nonblank(inputs.files(spark, sf_dir))
 
@@ -277,6 +282,7 @@ def streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "matching_files": matched_files,
         "nonblank_files": nonblank_files,
         "boundary_lines": boundary_lines,
         "chunks_line": chunks_line,
