@@ -82,13 +82,9 @@ def only_newlines(text: Column) -> Column:
     return ~_contains_any(text, _RARE_TERMINATORS + "\r\x85\u2028\u2029")
 
 
-def line_count(text: Column, plain: Column | None = None) -> Column:
-    """Number of physical lines; ``plain`` marks texts known to use LF only."""
-    counted = F.size(split_lines(text))
-    if plain is None:
-        return counted
-    last_open = F.when((text == "") | F.endswith(text, F.lit("\n")), 0).otherwise(1)
-    return F.when(plain, newline_count(text) + last_open).otherwise(counted)
+def line_count(text: Column) -> Column:
+    """Number of physical lines."""
+    return F.size(split_lines(text))
 
 
 def _cut(lines: Column, starts: Column) -> Column:

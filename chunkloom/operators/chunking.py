@@ -60,14 +60,19 @@ def line_spans(chunked: DataFrame, true: bool = True) -> DataFrame:
         return started.withColumn("spans", spans).drop("_starts", "_newlines")
     # Where LF ends every line, the reported numbers run ahead by exactly one
     # line per earlier chunk; other texts have their lines counted.
-    started = counted.withColumns(
-        {"_starts": totals, "_plain": only_newlines(F.col("content"))}
-    )
-    lines_ = bind(
-        F.col("_plain"),
-        lambda plain: F.transform("chunks", lambda c: line_count(c, plain)),
+    started = counted.withColumns({"_starts": totals, "_plain": only_newlines(F.col("content"))})
+    # Every chunk but the last ends with a line; the last may stop inside one.
+    open_end = F.when(F.endswith(F.col("content"), F.lit("\n")), 0).otherwise(1)
+    last = F.size("chunks") - 1
+    plain_lines = bind(
+        F.struct(open_end.alias("rest"), last.alias("last")),
+        lambda end: F.transform(
+            "_newlines", lambda n, k: F.when(k == end["last"], n + end["rest"]).otherwise(n)
+        ),
     )
-    located = started.withColumn("_lines", lines_).withColumn(
+    located = started.withColumn(
+        "_lines", F.when(F.col("_plain"), plain_lines).otherwise(F.transform("chunks", line_count))
+    ).withColumn(
         "_true_starts",
         F.when(F.col("_plain"), F.transform("_starts", lambda s, k: s - k)).otherwise(
             running_totals(F.col("_lines"))

@@ -40,6 +40,11 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.expr(_PATH).alias("path"), content)
 
 
+def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paths of all source files; the texts are not read."""
+    return documents(spark, sf_dir).select(F.expr(_PATH).alias("path"))
+
+
 def mixed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, n_chars)`` with other suffixes and repository folders in between."""
     return documents(spark, sf_dir).select(F.expr(_MIXED_PATH).alias("path"), "n_chars")

@@ -107,7 +107,7 @@ def root_of_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def obfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.files(spark, sf_dir).select("path", obfuscate_path(F.col("path")).alias("pseudonym"))
+    return inputs.paths(spark, sf_dir).withColumn("pseudonym", obfuscate_path(F.col("path")))
 
 
 def deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
