@@ -24,6 +24,20 @@ _BYTES_PER_TASK = 64 << 20
 def _lister(suffix: str, skip: str):
     """A task function that lists one directory per input row."""
 
+    def is_kind(test) -> bool:
+        try:
+            return test()
+        except OSError:
+            # A link that leads back to itself is neither.
+            return False
+
+    def size_of(entry) -> int:
+        try:
+            return entry.stat().st_size
+        except OSError:
+            # A dangling link or a file just removed: reading it will tell.
+            return 0
+
     def entries(folder: str):
         import os
 
@@ -32,16 +46,18 @@ def _lister(suffix: str, skip: str):
         if "://" not in folder:
             with os.scandir(folder) as found:
                 for e in found:
-                    is_dir = e.is_dir()
-                    # Links to directories are not followed: they may loop.
-                    if is_dir and e.is_symlink():
-                        continue
-                    size = 0 if is_dir or not e.is_file() else e.stat().st_size
-                    yield e.name, is_dir, size
+                    if is_kind(e.is_dir):
+                        # Links to directories are not followed: they may loop.
+                        if not e.is_symlink():
+                            yield e.name, True, 0
+                    elif e.name.endswith(suffix) and (is_kind(e.is_file) or e.is_symlink()):
+                        yield e.name, False, size_of(e)
         else:
             store, inner = pafs.FileSystem.from_uri(folder)
             for info in store.get_file_info(pafs.FileSelector(inner)):
-                yield info.base_name, info.type == pafs.FileType.Directory, info.size or 0
+                is_dir = info.type == pafs.FileType.Directory
+                if is_dir or info.base_name.endswith(suffix):
+                    yield info.base_name, is_dir, info.size or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -61,7 +77,7 @@ def _lister(suffix: str, skip: str):
             for folder in batch.column(0).to_pylist():
                 try:
                     for name, is_dir, size in entries(folder):
-                        if (is_dir and name != skip) or (not is_dir and name.endswith(suffix)):
+                        if not is_dir or name != skip:
                             rows.append((os.path.join(folder, name), is_dir, size))
                         if len(rows) >= 10_000:
                             yield pack(rows)

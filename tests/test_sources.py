@@ -92,6 +92,16 @@ def test_unreadable_file_is_rejected(spark, tree):
     assert row.error.startswith("FileNotFoundError")
 
 
+def test_dangling_link_and_pipe(spark, tree):
+    os.symlink(tree + "/nowhere", tree + "/_priv/dangling.py")
+    os.symlink("self.txt", tree + "/_priv/self.txt")
+    os.mkfifo(tree + "/_priv/pipe.py")
+    raw = read_source_tree(spark, tree + "/_priv")
+    assert [r.content for r in decode_files(raw).collect()] == ["p\n"]
+    (row,) = rejected_files(raw).collect()
+    assert row.path.endswith("dangling.py") and row.error.startswith("FileNotFoundError")
+
+
 def test_index_of_a_tree(spark, tree):
     index = index_chunks(decode_files(read_source_tree(spark, tree)))
     got = sorted((r.original_file_path, r.chunk_index, r.embedding_id, r.lines, r.status) for r in index.collect())
