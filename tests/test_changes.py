@@ -65,7 +65,9 @@ def test_reuse(spark):
         A: ("e1", False), B: (None, True), C: (None, True),
     }
     assert rows[B].n_copies == 54 and (rows[B].path, rows[B].chunk_index) == ("edit.py", 1)
-    assert {r.chunk for r in pending_chunks(chunks, cache).collect()} == {B, C}
+    for rows in (0, 100):
+        pending = pending_chunks(chunks, cache, broadcast_rows=rows).collect()
+        assert {r.chunk: r.n_copies for r in pending} == {B: 54, C: 2}
     assert distinct_chunks(chunks).count() == 3
 
 
