@@ -25,7 +25,7 @@ from chunkloom.sources.staging import stage
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task remembers, about 100 MB; then it begins anew.
+#: Words, and pieces, whose ids a worker remembers, about 60 MB each; then it begins anew.
 REMEMBERED = 300_000
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -40,38 +40,77 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class WordIds:
     """Token ids of texts as little-endian 32-bit integers, by way of their words.
 
-    The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are those of its words one after the other.  Texts that hold
-    the spelling of an added token are encoded whole.
+    The tokenizer drops white space and never joins what it separates, nor
+    letters and punctuation, so the ids of a text are those of its words, and
+    of the pieces of these, one after the other.  Ids of words and pieces are
+    remembered.  Texts that hold the spelling of an added token are encoded
+    whole.
     """
 
     def __init__(self, path: str):
+        import os
+        import re
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ids: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        # Words of ASCII and Latin-1 letters with punctuation around them; any other
+        # word (digits, apostrophes, other scripts) is left to the tokenizer as it is.
+        letters = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+        marks = r"[!-&(-/:-@\[-`{-~]*"
+        self.plain = re.compile(f"({marks})([{letters}]+)({marks})")
+
+    def _encode(self, pieces: list[str]) -> None:
         import numpy as np
 
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def __call__(self, text: str) -> bytes:
-        if any(x in text for x in self.added):
-            return self._encode([text])[0]
+        for start in range(0, len(pieces), 512):
+            part = pieces[start : start + 512]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.asarray(found.ids, dtype="<u4")
+            ends = np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(part) + 1))
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            self.pieces.update(zip(part, [data[a:b] for a, b in zip(ends, ends[1:])]))
+
+    def _learn(self, words: list[str]) -> None:
+        split = []
+        for word in words:
+            m = self.plain.fullmatch(word)
+            split.append((m[1], m[2].lower(), m[3]) if m else (word,))
+        new = {p for pieces in split for p in pieces} - self.pieces.keys() - {""}
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces = {"": b""}
+            new = {p for pieces in split for p in pieces} - {""}
+        self.pieces.setdefault("", b"")
+        self._encode(list(new))
+        get = self.pieces.__getitem__
+        self.words.update(zip(words, [b"".join(map(get, pieces)) for pieces in split]))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         # Cut at four characters that are white space for any tokenizer; other kinds
         # stay within words and are left to it.
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        ids = self.ids
-        new = [w for w in set(words) if w not in ids]
-        if new:
-            if len(ids) + len(new) > REMEMBERED:
-                ids.clear()
-                new = list(set(words))
-            ids.update(zip(new, self._encode(new)))
-        return b"".join([ids[w] for w in words])
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        seen = set().union(*split)
+        new = seen - self.words.keys()
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words, new = {}, seen
+        self._learn(list(new))
+        get = self.words.__getitem__
+        found = [b"".join(map(get, words)) for words in split]
+        for i, text in enumerate(texts):
+            if any(x in text for x in self.added):
+                import numpy as np
+
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                found[i] = np.asarray(ids, dtype="<u4").tobytes()
+        return found
+
+
+#: Kept between the tasks of a worker.
+_ENCODERS: dict[str, WordIds] = {}
 
 
 def _pieces(path: str, capacity: int):
@@ -80,24 +119,29 @@ def _pieces(path: str, capacity: int):
 
         import pyarrow as pa
 
-        encode = WordIds(path)
-        for batch in batches:
-            ids, rows = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = encode(text.as_py() or "") + b"\0\0\0\0"
-                for piece, start in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[start : start + 4 * capacity]
-                    ids.append(doc_id)
-                    rows.append((piece, start // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, batch.column(0).type),
-                    pa.array(columns[0], pa.int32()),
-                    *[pa.array(c, pa.int64()) for c in columns[1:]],
-                ],
-                names=["id", "piece", "start", "length", "ids_crc32"],
-            )
+        from chunkloom.llm import packing
+
+        encode = packing._ENCODERS.get(path) or packing._ENCODERS.setdefault(path, WordIds(path))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                ids, rows = [], []
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts)):
+                    data = found + b"\0\0\0\0"
+                    for piece, start in enumerate(range(0, len(data), 4 * capacity)):
+                        part = data[start : start + 4 * capacity]
+                        ids.append(doc_id)
+                        rows.append((piece, start // 4, len(part) // 4, zlib.crc32(part)))
+                columns = list(zip(*rows)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids, batch.column(0).type),
+                        pa.array(columns[0], pa.int32()),
+                        *[pa.array(c, pa.int64()) for c in columns[1:]],
+                    ],
+                    names=["id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return cut
 
