@@ -211,14 +211,21 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
         .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
         .filter("df > 1")
     )
-    prefix = stage(prefix.select("rep", "comp", "n", "shingle"), "prefixes")
-    other = prefix.select(
-        F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"), "shingle"
+    prefix = stage(
+        prefix.select("rep", "comp", "n", "shingle", (F.col("n") - F.col("rank")).alias("rest")),
+        "prefixes",
     )
+    other = prefix.select(
+        F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"), "shingle",
+        F.col("rest").alias("rest_b"),
+    )
+    # After their first common shingle sets can have no more in common than what is
+    # left of the shorter rest; the first one passes if the pair is similar.
+    overlap = (1 + F.least("rest", "rest_b")) * (100 + PERCENT)
     return (
         prefix.join(other, "shingle")
         .filter("rep < b AND comp <> comp_b")
-        .filter(100 * F.least("n", "n_b") >= PERCENT * F.greatest("n", "n_b"))
+        .filter(overlap >= PERCENT * (F.col("n") + F.col("n_b")))
         .select(F.col("rep").alias("a"), "b")
         .distinct()
     )
