@@ -23,38 +23,17 @@ def indices(array: Column) -> Column:
     return F.sequence(F.lit(0), F.size(array) - 1)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda acc, x: acc + x)
-
-
-def _running_totals(values: Column) -> Column:
-    width = F.ceil(F.sqrt(F.size(values))).cast("int")
-
-    def with_width(w: Column) -> Column:
-        block_of = lambda i: F.floor(i / w).cast("int")
-        blocks = F.transform(
-            F.sequence(F.lit(0), block_of(F.size(values) - 1)),
-            lambda b: _total(F.slice(values, b * w + 1, w)),
-        )
-        return bind(
-            blocks,
-            lambda totals: F.transform(
-                values,
-                lambda x, i: _total(F.slice(totals, F.lit(1), block_of(i)))
-                + _total(F.slice(values, block_of(i) * w + 1, i % w)),
-            ),
-        )
-
-    return bind(width, with_width)
-
-
 def running_totals(values: Column) -> Column:
-    """Exclusive prefix sums of an int array, without leaving the row.
+    """Exclusive prefix sums of an array of ints of 1 or more, without leaving the row.
 
-    Works in blocks of about sqrt(n) elements, so an array of n elements costs
-    n * sqrt(n) additions and no array is ever rebuilt element by element.
+    Each index is repeated as often as its value says; the places where the
+    index changes are the sums.  One pass, and as many steps as the values add
+    up to.
     """
-    return bind(
-        values,
-        lambda v: F.when(F.size(v) > 0, _running_totals(v)).otherwise(v),
-    )
+
+    def sums(flat: Column) -> Column:
+        changes = lambda i: (i == 0) | (F.get(flat, i) != F.get(flat, i - 1))
+        return F.filter(indices(flat), changes)
+
+    repeated = F.flatten(F.transform(values, lambda x, k: F.array_repeat(k, x)))
+    return F.when(F.size(values) > 0, bind(repeated, sums)).otherwise(values)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: text that makes a chunk fail.
+# Fixed value: text that makes the simulated service fail.
 FAILURE_TEXT = "erro"
 
 
 def fail_when(text: Column, marker: str = FAILURE_TEXT) -> Column:
-    """Default failure predicate: the text contains the marker in any case."""
+    """Failure predicate of the simulated service: the text contains the marker in any case."""
     return F.contains(F.lower(text), F.lit(marker))
 
 

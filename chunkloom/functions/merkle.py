@@ -21,13 +21,17 @@ def leaf_hashes(texts: Column) -> Column:
 
 
 def _parents(level: Column) -> Column:
-    """One level up: hash adjacent pairs, an odd last node with itself."""
+    """One level up: hash adjacent pairs, an odd last node with itself.
+
+    Whether there is a right child is told by position: a null leaf makes its
+    ancestors null and never takes the place of another.
+    """
     return F.transform(
         F.sequence(F.lit(0), F.floor((F.size(level) - 1) / 2).cast("int")),
         lambda i: F.sha2(
             F.concat(
                 F.get(level, 2 * i),
-                F.coalesce(F.get(level, 2 * i + 1), F.get(level, 2 * i)),
+                F.get(level, F.least(2 * i + 1, F.size(level) - 1)),
             ),
             256,
         ),
@@ -50,7 +54,7 @@ def fold_levels(hashes: Column, height: Column) -> Column:
 
 
 def merkle_root(hashes: Column) -> Column:
-    """Root over an ordered array of leaf hashes; null when it is empty."""
+    """Root over an ordered array of leaf hashes; null when it is empty or a leaf is null."""
     return bind(
         hashes,
         lambda h: F.when(F.size(h) > 0, fold_levels(h, tree_height(F.size(h)))),

@@ -47,9 +47,10 @@ def _per_segment(path: Column, change) -> Column:
     segments = F.transform(
         F.split(path, "/"), lambda s: F.when(s == "", s).otherwise(change(s))
     )
-    return F.when(F.coalesce(path, F.lit("")) == "", F.lit("")).otherwise(
-        F.array_join(segments, "/")
+    whole = bind(
+        segments, lambda x: F.when(~F.exists(x, lambda s: s.isNull()), F.array_join(x, "/"))
     )
+    return F.when(F.coalesce(path, F.lit("")) == "", F.lit("")).otherwise(whole)
 
 
 def obfuscate_path(path: Column, key: str = DEFAULT_KEY) -> Column:
@@ -63,11 +64,12 @@ def obfuscate_path(path: Column, key: str = DEFAULT_KEY) -> Column:
 def deobfuscate_path(pseudonym: Column, key: str = DEFAULT_KEY) -> Column:
     """Undo :func:`obfuscate_path` with the same key.
 
-    A segment that does not decode to UTF-8, as with another key, is left out.
+    Null if any segment is no pseudonym or does not decode to UTF-8, as with
+    another key.
     """
     return _per_segment(
         pseudonym,
         lambda s: F.try_validate_utf8(
-            F.unhex(_xor_hex(F.hex(F.unbase64(F.translate(s, "-_", "+/"))), key)).cast("string")
+            F.unhex(_xor_hex(F.hex(F.try_to_binary(F.translate(s, "-_", "+/"), F.lit("base64"))), key)).cast("string")
         ),
     )
