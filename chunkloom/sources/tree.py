@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from chunkloom.functions.text import normalize_newlines
 from chunkloom.sources.staging import fresh_path
 
-_LISTING = "path string, is_dir boolean, length bigint"
+_LISTING = "path string, is_dir boolean, length bigint, error string"
 _CONTENT = "path string, content binary, error string"
 _BYTES_PER_TASK = 64 << 20
+_LARGEST = 2**31 - 1
+# Errors that another try would meet again.
+_LASTING = (FileNotFoundError, PermissionError, NotADirectoryError, IsADirectoryError)
 
 
 def _lister(suffix: str, skip: str):
@@ -64,12 +67,18 @@ def _lister(suffix: str, skip: str):
 
         import pyarrow as pa
 
-        names = ["path", "is_dir", "length"]
+        names = ["path", "is_dir", "length", "error"]
 
         def pack(rows):
-            paths, dirs, sizes = zip(*rows)
+            paths, dirs, sizes, errors = zip(*rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array(paths), pa.array(dirs), pa.array(sizes, pa.int64())], names
+                [
+                    pa.array(paths),
+                    pa.array(dirs),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(errors, pa.string()),
+                ],
+                names,
             )
 
         rows = []
@@ -78,13 +87,13 @@ def _lister(suffix: str, skip: str):
                 try:
                     for name, is_dir, size in entries(folder):
                         if not is_dir or name != skip:
-                            rows.append((os.path.join(folder, name), is_dir, size))
+                            rows.append((os.path.join(folder, name), is_dir, size, None))
                         if len(rows) >= 10_000:
                             yield pack(rows)
                             rows = []
-                except OSError:
-                    # A folder that cannot be listed adds nothing, as in a plain walk.
-                    continue
+                except _LASTING as e:
+                    # Other errors may pass: the task fails and Spark tries it again.
+                    rows.append((folder, False, 0, f"{type(e).__name__}: {e}"))
         if rows:
             yield pack(rows)
 
@@ -122,13 +131,15 @@ def _reader():
 
         rows, held = [], 0
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                try:
-                    content, error = read(path), None
-                    if len(content) >= 2**31 - 1:
-                        content, error = None, "larger than one value can be"
-                except OSError as e:
-                    content, error = None, f"{type(e).__name__}: {e}"
+            for path, length, error in zip(*(c.to_pylist() for c in batch.columns)):
+                content = None
+                if error is None and length >= _LARGEST:
+                    error = "larger than one value can be"  # known before it is read
+                if error is None:
+                    try:
+                        content = read(path)
+                    except _LASTING as e:
+                        error = f"{type(e).__name__}: {e}"
                 rows.append((path, content, error))
                 held += len(content or b"")
                 if held >= 16 << 20:
@@ -140,19 +151,16 @@ def _reader():
     return run
 
 
-def list_source_tree(
-    spark: SparkSession, root: str, suffix: str = ".py", skip: str = ".git"
-) -> DataFrame:
-    """``(path, length)`` of all files below ``root`` whose name ends in ``suffix``.
+def _listed(spark: SparkSession, root: str, suffix: str, skip: str) -> DataFrame:
+    """``(path, length, error)`` of files, and of folders that cannot be listed.
 
     Goes down one level of directories per job, each directory being a row, so
     that a lopsided tree is still listed by all executors and never by the
-    driver.  Directories named ``skip`` are not entered, and nothing is listed
-    when ``root`` itself lies in one.
+    driver.
     """
     root = root.rstrip("/") or "/"
     if skip in root.split("/"):
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.createDataFrame([], "path string, length bigint, error string")
     base = fresh_path(spark, "listing")
     slots = spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(root,)], "path string")
@@ -161,10 +169,24 @@ def list_source_tree(
         folder = f"{base}/level={level}"
         listed = frontier.repartition(slots).mapInArrow(_lister(suffix, skip), _LISTING)
         listed.write.parquet(folder)
-        frontier = spark.read.schema(_LISTING).parquet(folder).filter("is_dir").select("path")
+        level_rows = spark.read.schema(_LISTING).parquet(folder)
+        if level == 0 and (failed := level_rows.filter("error IS NOT NULL").first()):
+            raise FileNotFoundError(f"{root} cannot be listed: {failed['error']}")
+        frontier = level_rows.filter("is_dir").select("path")
         level += 1
     found = spark.read.schema(_LISTING).parquet(base)
-    return found.filter(~F.col("is_dir")).select("path", "length")
+    return found.filter(~F.col("is_dir")).select("path", "length", "error")
+
+
+def list_source_tree(
+    spark: SparkSession, root: str, suffix: str = ".py", skip: str = ".git"
+) -> DataFrame:
+    """``(path, length)`` of all files below ``root`` whose name ends in ``suffix``.
+
+    Directories named ``skip`` are not entered, and nothing is listed when
+    ``root`` itself lies in one.  A root that cannot be listed is an error.
+    """
+    return _listed(spark, root, suffix, skip).filter("error IS NULL").select("path", "length")
 
 
 def read_source_tree(
@@ -173,12 +195,13 @@ def read_source_tree(
     """``(path, content BINARY, error)`` of the files below ``root``.
 
     The listing is spread evenly over enough tasks for its total size, and the
-    executors read the files.  A file that cannot be read has an ``error``.
+    executors read the files.  A file that cannot be read has an ``error``, and
+    so has a folder that cannot be listed.
     """
-    files = list_source_tree(spark, root, suffix, skip)
+    files = _listed(spark, root, suffix, skip)
     total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, total // _BYTES_PER_TASK)
-    return files.select("path").repartition(int(tasks)).mapInArrow(_reader(), _CONTENT)
+    return files.repartition(int(tasks)).mapInArrow(_reader(), _CONTENT)
 
 
 def decode_files(raw: DataFrame) -> DataFrame:
