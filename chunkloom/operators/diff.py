@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.sources.staging import stage
+
 
 def _sides(old: DataFrame, new: DataFrame, *columns: str) -> DataFrame:
     left = old.select(F.col("path"), *[F.col(c).alias(f"old_{c}") for c in columns])
@@ -38,22 +40,27 @@ def diff_chunks(old: DataFrame, new: DataFrame) -> DataFrame:
     """Kept, added and removed copies of each chunk in files that changed.
 
     Both sides have ``(path, root_hash, chunk_hashes)``, one row per path.
-    Files with equal roots drop out before their hashes are unfolded.  Copies
+    Roots are compared first; only hashes of files that differ are unfolded.  Copies
     are counted, not paired, so a chunk repeated any number of times is one
     small sum that is pre-aggregated before the shuffle.
     """
-    with_counts = [d.withColumn("n_chunks", F.size("chunk_hashes")) for d in (old, new)]
-    differing = _sides(*with_counts, "root_hash", "n_chunks", "chunk_hashes").filter(
-        F.col("change") != "unchanged"
+    with_counts = [
+        d.select("path", "root_hash", F.size("chunk_hashes").alias("n_chunks")) for d in (old, new)
+    ]
+    differing = stage(
+        _sides(*with_counts, "root_hash", "n_chunks")
+        .filter(F.col("change") != "unchanged")
+        .select("path"),
+        "differing",
     )
-    tagged = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("is_new"), F.col("old_chunk_hashes").alias("hashes")),
-            F.struct(F.lit(1).alias("is_new"), F.col("new_chunk_hashes").alias("hashes")),
+    sides = [
+        d.select("path", F.lit(is_new).alias("is_new"), "chunk_hashes").join(
+            differing, "path", "left_semi"
         )
-    )
-    rows = differing.select("path", tagged.alias("_side")).select(
-        "path", F.col("_side.is_new").alias("is_new"), F.explode("_side.hashes").alias("chunk_hash")
+        for is_new, d in enumerate((old, new))
+    ]
+    rows = sides[0].unionByName(sides[1]).select(
+        "path", "is_new", F.explode("chunk_hashes").alias("chunk_hash")
     )
     counts = rows.groupBy("path", "chunk_hash").agg(
         F.sum(1 - F.col("is_new")).alias("n_old"), F.sum("is_new").alias("n_new")

@@ -25,27 +25,43 @@ def update_manifest(manifest: DataFrame, run: DataFrame) -> DataFrame:
 
 
 def file_states(index: DataFrame) -> DataFrame:
-    """Manifest rows of an index table: root, chunks and failures per path."""
-    return index.groupBy(F.col("original_file_path").alias("path"), "root_hash").agg(
+    """Manifest rows of an index table: root, chunks and failures per path.
+
+    A chunk that the table holds several times counts once.  A path with two
+    contents gives a row for each; ``latest`` then takes the greater root.
+    """
+    chunks = index.groupBy(
+        F.col("original_file_path").alias("path"), "root_hash", "chunk_index"
+    ).agg(F.max(F.col("status") == "failed").alias("failed"))
+    return chunks.groupBy("path", "root_hash").agg(
         F.count(F.lit(1)).cast("int").alias("n_chunks"),
-        F.count_if(F.col("status") == "failed").alias("n_failed"),
+        F.count_if("failed").alias("n_failed"),
     )
 
 
-def write_run(states: DataFrame, folder: str, run_id: int) -> None:
-    """Store one run; writing the same run again replaces it."""
-    states.select(*_FIELDS).write.mode("overwrite").parquet(f"{folder}/run_id={run_id}")
+def write_run(states: DataFrame, folder: str, run_id: int, stream: str = "batch") -> None:
+    """Store one run of a stream; writing the same run again replaces it."""
+    target = f"{folder}/stream={stream}/run_id={run_id}"
+    states.select(*_FIELDS).write.mode("overwrite").parquet(target)
+
 
+def read_runs(
+    spark: SparkSession, folder: str, before: int | None = None, stream: str = "batch"
+) -> DataFrame:
+    """All stored runs; empty if there are none.
 
-def read_runs(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
-    """All stored runs, or those before ``before``; empty if there are none."""
+    With ``before`` only the runs of ``stream`` before that one, and those of all
+    other streams.
+    """
     root = spark._jvm.org.apache.hadoop.fs.Path(folder)
     exists = root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
-    schema = f"{SCHEMA}, run_id bigint"
+    schema = f"{SCHEMA}, stream string, run_id bigint"
     if not exists:
         return spark.createDataFrame([], schema)
     runs = spark.read.schema(schema).parquet(folder)
-    return runs if before is None else runs.filter(F.col("run_id") < before)
+    return runs if before is None else runs.filter(
+        (F.col("run_id") < before) | (F.col("stream") != stream)
+    )
 
 
 def synced_roots(states: DataFrame) -> DataFrame:

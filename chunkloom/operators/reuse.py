@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.operators.sync import BROADCAST_ROWS
+from chunkloom.sources.staging import stage
 
 
 def distinct_chunks(chunks: DataFrame) -> DataFrame:
@@ -35,16 +35,11 @@ def reuse_embeddings(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     return joined.withColumn("needs_embedding", F.col("_hit").isNull()).drop("_hit")
 
 
-def pending_chunks(
-    chunks: DataFrame, cache: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def pending_chunks(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     """Only the distinct chunks that the cache does not hold.
 
-    The cache is counted first.  A small one is broadcast, so that cached
-    chunks drop out before anything is shuffled; beyond that the chunks are
-    made distinct first, so that no hash is frequent in the join.
+    The hashes of the cache are stored once, so that Spark knows their size:
+    small ones are broadcast and cached chunks drop out before any shuffle.
     """
-    cached = cache.select("chunk_hash").distinct()
-    if cache.count() <= broadcast_rows:
-        return distinct_chunks(chunks.join(F.broadcast(cached), "chunk_hash", "left_anti"))
-    return distinct_chunks(chunks).join(cached, "chunk_hash", "left_anti")
+    cached = stage(cache.select("chunk_hash").distinct(), "cached-hashes")
+    return distinct_chunks(chunks.join(cached, "chunk_hash", "left_anti"))

@@ -2,55 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the one root the simulated service knows.
-SIMULATED_KNOWN_ROOTS = ("SIMULATED_KNOWN_HASH",)
-
-# A known side of at most this many rows (about 100 bytes each) is broadcast.
-BROADCAST_ROWS = 500_000
-SALTS = 8
-
-
-def _broadcast_sync(rows: DataFrame, known: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(known), F.col("root_hash") == F.col("_known"), "left")
+from chunkloom.sources.staging import stage
 
+# Fixed value: the one root the simulated service knows, for tests against it.
+SIMULATED_KNOWN_ROOTS = ("SIMULATED_KNOWN_HASH",)
 
-def _salted_sync(
-    rows: DataFrame, known: DataFrame, salt_on: Sequence[str], salts: int
-) -> DataFrame:
-    """Shuffle by root and salt: files with the same content spread over ``salts`` tasks."""
-    spread = known.withColumn("_known_salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    salted = rows.withColumn("_salt", F.pmod(F.hash(*salt_on), F.lit(salts)))
-    match = (F.col("root_hash") == F.col("_known")) & (F.col("_salt") == F.col("_known_salt"))
-    return salted.join(spread, match, "left").drop("_known_salt", "_salt")
+# A longer list of roots becomes a table instead of a literal in the plan.
+LISTED_ROOTS = 100
 
 
 def sync(
-    rows: DataFrame,
-    known_roots: DataFrame | Iterable[str] = SIMULATED_KNOWN_ROOTS,
-    salt_on: Sequence[str] = ("path",),
-    salts: int = SALTS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    rows: DataFrame, known_roots: DataFrame | Iterable[str] = ()
 ) -> DataFrame:
     """Add ``needs_resync``: false where ``root_hash`` is among the known roots.
 
-    ``known_roots`` is a short list of roots, or a DataFrame with ``root_hash``
-    of any size, which is counted first.  Up to ``broadcast_rows`` rows it is
-    broadcast and ``rows`` is not shuffled.  Beyond that both sides shuffle, the
-    known side once per salt and without repeats, so that the copies of one
-    file never meet in one task.
+    ``known_roots`` is a list of roots, or a DataFrame with ``root_hash`` of any
+    size.  Its distinct roots are stored once, so they are computed once and
+    Spark sees their size when it chooses between broadcasting them and
+    shuffling both sides; in a shuffle it splits roots with many rows.
     """
     if not isinstance(known_roots, DataFrame):
-        return rows.withColumn(
-            "needs_resync", ~F.coalesce(F.col("root_hash").isin(*known_roots), F.lit(False))
-        )
-    known = known_roots.select(F.col("root_hash").alias("_known")).distinct()
-    if known_roots.count() <= broadcast_rows:
-        joined = _broadcast_sync(rows, known)
-    else:
-        joined = _salted_sync(rows, known, salt_on, salts)
+        listed = list(known_roots)
+        if len(listed) <= LISTED_ROOTS:
+            found = F.col("root_hash").isin(*listed) if listed else F.lit(False)
+            return rows.withColumn("needs_resync", ~F.coalesce(found, F.lit(False)))
+        known_roots = rows.sparkSession.createDataFrame([(r,) for r in listed], "root_hash string")
+    known = stage(known_roots.select(F.col("root_hash").alias("_known")).distinct(), "known-roots")
+    joined = rows.join(known, F.col("root_hash") == F.col("_known"), "left")
     return joined.withColumn("needs_resync", F.col("_known").isNull()).drop("_known")

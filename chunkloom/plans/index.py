@@ -7,12 +7,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.functions.ids import cached_id, embedding_id, fail_when, line_label
+from chunkloom.functions.ids import cached_id, embedding_id, line_label
 from chunkloom.functions.paths import DEFAULT_KEY, obfuscate_path
 from chunkloom.functions.text import content_preview
 from chunkloom.operators.chunking import chunk, explode_chunks, line_spans
 from chunkloom.operators.fingerprint import fingerprint
-from chunkloom.operators.sync import SIMULATED_KNOWN_ROOTS, sync
+from chunkloom.operators.sync import sync
 
 _TRUE_LINES = ("true_start", "true_end")
 
@@ -22,7 +22,7 @@ def describe_chunks(
     key: str = DEFAULT_KEY,
     mode: str = "line",
     pattern: str | None = None,
-    fails: Callable[[Column], Column] = fail_when,
+    fails: Callable[[Column], Column] | None = None,
     true_lines: bool = False,
 ) -> DataFrame:
     """One narrow row per chunk with everything that depends on the file alone.
@@ -46,7 +46,7 @@ def describe_chunks(
         "start_line",
         "end_line",
         *(_TRUE_LINES if true_lines else ()),
-        fails(text).alias("fails"),
+        (fails(text) if fails else F.lit(False)).alias("fails"),
         embedding_id(text, pseudonym, F.col("start_line"), F.col("end_line")).alias("sent_id"),
         cached_id(text, pseudonym, F.col("chunk_index")).alias("cached_id"),
     )
@@ -76,20 +76,20 @@ def route(described: DataFrame) -> DataFrame:
 
 def index_chunks(
     files: DataFrame,
-    known_roots: DataFrame | Iterable[str] = SIMULATED_KNOWN_ROOTS,
+    known_roots: DataFrame | Iterable[str] = (),
     key: str = DEFAULT_KEY,
     mode: str = "line",
     pattern: str | None = None,
-    fails: Callable[[Column], Column] = fail_when,
+    fails: Callable[[Column], Column] | None = None,
     true_lines: bool = False,
 ) -> DataFrame:
     """Index ``(path, content)`` files against the roots already in sync.
 
     Chunks of a known root are ``cached``.  The others are ``processed``, or
-    ``failed`` with a null id where ``fails`` holds for the text.
+    ``failed`` with a null id where ``fails``, if given, holds for the text.
     """
     described = describe_chunks(files, key, mode, pattern, fails, true_lines)
-    return route(sync(described, known_roots, salt_on=("path", "chunk_index")))
+    return route(sync(described, known_roots))
 
 
 def merge_indexes(first: DataFrame, *others: DataFrame) -> DataFrame:

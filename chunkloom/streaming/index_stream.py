@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chunkloom.functions.ids import fail_when
 from chunkloom.functions.paths import DEFAULT_KEY
 from chunkloom.operators.manifest import file_states, read_runs, synced_roots, write_run
 from chunkloom.operators.sync import sync
@@ -25,6 +26,17 @@ def read_file_stream(spark: SparkSession, folder: str, files_per_batch: int | No
     return reader.parquet(folder)
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream that a checkpoint belongs to: an id kept in a folder inside it."""
+    folder = f"{checkpoint.rstrip('/')}/stream-id"
+    try:
+        return spark.read.schema("id string").json(folder).first()["id"]
+    except AnalysisException:
+        found = uuid.uuid4().hex
+        spark.createDataFrame([(found,)], "id string").coalesce(1).write.json(folder)
+        return found
+
+
 def stream_index(
     files: DataFrame,
     out: str,
@@ -32,29 +44,35 @@ def stream_index(
     key: str = DEFAULT_KEY,
     mode: str = "line",
     pattern: str | None = None,
-    fails: Callable[[Column], Column] = fail_when,
+    fails: Callable[[Column], Column] | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Index a stream of files into ``out/chunks`` and ``out/manifest``.
 
     Chunking and hashing are row-local and run as part of the stream; only the
     sync with the manifest happens per batch.  A batch sees the runs before it
-    and writes to folders that carry its id, so a batch that runs again after a
-    failure reads the same manifest and replaces its own output.
+    and writes to folders that carry its id and that of its stream, which the
+    checkpoint keeps: a batch that runs again after a failure replaces its own
+    output, and a stream with another checkpoint never that of an earlier one.
+    ``trigger`` has the arguments of ``DataStreamWriter.trigger``; by default
+    what there is gets indexed and the stream ends.
     """
     described = describe_chunks(files, key, mode, pattern, fails)
+    stream = _stream_id(files.sparkSession, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        runs = read_runs(batch.sparkSession, f"{out}/manifest", before=batch_id)
-        synced = sync(batch, synced_roots(runs), salt_on=("path", "chunk_index"))
-        target = f"{out}/chunks/batch_id={batch_id}"
+        spark = batch.sparkSession
+        runs = read_runs(spark, f"{out}/manifest", before=batch_id, stream=stream)
+        synced = sync(batch, synced_roots(runs))
+        target = f"{out}/chunks/stream={stream}/batch_id={batch_id}"
         route(synced).write.mode("overwrite").parquet(target)
-        written = batch.sparkSession.read.parquet(target)
-        write_run(file_states(written), f"{out}/manifest", batch_id)
+        written = spark.read.parquet(target)
+        write_run(file_states(written), f"{out}/manifest", batch_id, stream)
 
     return (
         described.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

@@ -152,12 +152,13 @@ def sync_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index_chunks(inputs.files(spark, sf_dir), inputs.known_roots(spark, sf_dir))
+    known = inputs.known_roots(spark, sf_dir)
+    return index_chunks(inputs.files(spark, sf_dir), known, fails=fail_when)
 
 
 def index_true_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = inputs.known_roots(spark, sf_dir)
-    return index_chunks(inputs.files(spark, sf_dir), known, true_lines=True)
+    return index_chunks(inputs.files(spark, sf_dir), known, fails=fail_when, true_lines=True)
 
 
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +275,7 @@ def streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stream, from a drop folder to the chunk table."""
     drop, out, checkpoint = (fresh_path(spark, n) for n in ("drop", "stream", "progress"))
     inputs.files(spark, sf_dir).write.parquet(drop)
-    stream_index(read_file_stream(spark, drop), out, checkpoint).awaitTermination()
+    stream_index(read_file_stream(spark, drop), out, checkpoint, fails=fail_when).awaitTermination()
     return read_stream_index(spark, out).select(
         "original_file_path", "chunk_index", "embedding_id", "lines", "status", "root_hash"
     )
