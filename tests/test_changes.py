@@ -3,6 +3,7 @@ from collections import Counter
 import models
 from pyspark.sql import functions as F
 
+from chunkloom.functions import fail_when
 from chunkloom.operators import (
     chunk,
     diff_chunks,
@@ -65,9 +66,8 @@ def test_reuse(spark):
         A: ("e1", False), B: (None, True), C: (None, True),
     }
     assert rows[B].n_copies == 54 and (rows[B].path, rows[B].chunk_index) == ("edit.py", 1)
-    for rows in (0, 100):
-        pending = pending_chunks(chunks, cache, broadcast_rows=rows).collect()
-        assert {r.chunk: r.n_copies for r in pending} == {B: 54, C: 2}
+    pending = pending_chunks(chunks, cache).collect()
+    assert {r.chunk: r.n_copies for r in pending} == {B: 54, C: 2}
     assert distinct_chunks(chunks).count() == 3
 
 
@@ -79,11 +79,18 @@ def test_manifest(spark):
     assert latest(old.union(run).union(run)).count() == 3
 
 
+def test_repeated_rows_count_once(spark):
+    df = spark.createDataFrame([("a", A + "# erro\n" + B)], "path string, content string")
+    index = index_chunks(df, fails=fail_when)
+    (once,) = file_states(index).collect()
+    assert file_states(index.union(index)).collect() == [once] and (once.n_chunks, once.n_failed) == (2, 1)
+
+
 def test_stored_runs(spark, tmp_path):
     folder = str(tmp_path / "manifest")
     assert read_runs(spark, folder).count() == 0
     df = spark.createDataFrame([("a", A + B), ("b", A + "# erro\n")], "path string, content string")
-    states = file_states(index_chunks(df))
+    states = file_states(index_chunks(df, fails=fail_when))
     write_run(states, folder, 0)
     write_run(states, folder, 0)
     write_run(states.filter("path = 'a'"), folder, 1)
@@ -92,5 +99,5 @@ def test_stored_runs(spark, tmp_path):
     # A file with a failed chunk is not in sync and is sent again next time.
     roots = [r[0] for r in synced_roots(read_runs(spark, folder)).collect()]
     assert roots == [models.root([models.sha(A), models.sha(B)])]
-    again = index_chunks(df, synced_roots(read_runs(spark, folder)))
+    again = index_chunks(df, synced_roots(read_runs(spark, folder)), fails=fail_when)
     assert dict(again.groupBy("original_file_path").agg(F.max("status")).collect()) == {"a": "cached", "b": "failed"}

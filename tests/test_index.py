@@ -3,7 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 from texts import LARGER, SMALL, random_texts
 
+from chunkloom.functions import fail_when
 from chunkloom.operators import chunk, explode_chunks, fingerprint, line_spans, sync
+from chunkloom.operators.sync import SIMULATED_KNOWN_ROOTS
 from chunkloom.plans import index_chunks, merge_indexes, summary
 
 FILES = {"shop.py": SMALL, "lib/stock.py": LARGER, "blank.py": " \n", "copy.py": SMALL}
@@ -38,19 +40,19 @@ def root_of(text):
 
 
 def test_nothing_known(files):
-    assert rows_by_path(index_chunks(files)) == expected()
+    assert rows_by_path(index_chunks(files, fails=fail_when)) == expected()
 
 
 def test_known_roots(spark, files):
     known = [root_of(SMALL), root_of(LARGER), root_of(SMALL), "unrelated"]
-    got = rows_by_path(index_chunks(files, spark.createDataFrame([(k,) for k in known], "root_hash string")))
+    got = rows_by_path(index_chunks(files, spark.createDataFrame([(k,) for k in known], "root_hash string"), fails=fail_when))
     assert got == expected(known)
-    assert rows_by_path(index_chunks(files, known)) == got
+    assert rows_by_path(index_chunks(files, known, fails=fail_when)) == got
     assert {s for rows in got.values() for _, _, _, s in rows} == {"cached", "failed", "processed"}
 
 
 def test_columns(files):
-    index = index_chunks(files, true_lines=True)
+    index = index_chunks(files, fails=fail_when, true_lines=True)
     assert index.columns[:7] == [
         "original_file_path", "obfuscated_file_path", "chunk_index", "content_preview",
         "embedding_id", "lines", "status",
@@ -61,7 +63,7 @@ def test_columns(files):
 
 
 def test_other_key_mode_pattern_and_failure(files):
-    default = index_chunks(files)
+    default = index_chunks(files, fails=fail_when)
     other = index_chunks(files, key="k2", mode="top_level", fails=lambda c: F.length(c) > 40)
     assert other.filter("status = 'failed'").filter(F.length("content_preview") < 40).count() == 0
     assert other.count() < default.count()
@@ -84,7 +86,7 @@ def test_spans(files):
 
 
 def test_summary_and_merge(files):
-    index = index_chunks(files)
+    index = index_chunks(files, fails=fail_when)
     first = summary(index).filter("file = 'lib/stock.py' and chunk = 0").first()
     hidden = models.pseudonym("lib/stock.py")[:20] + "..."
     assert tuple(first)[:3] == ("lib/stock.py", 0, hidden)
@@ -101,36 +103,27 @@ def test_flagship_neither_shuffles_nor_runs_python(spark, files, tmp_path):
     assert "PushedFilters: [IsNotNull(content)]" in text
 
 
-def test_small_known_side_is_broadcast_and_large_one_salted(spark, files):
+def test_known_side_is_broadcast_or_shuffled_by_its_size(spark, files):
     known = spark.createDataFrame([(root_of(SMALL),), (root_of(SMALL),)], "root_hash string")
     roots = fingerprint(chunk(files)).select("path", "root_hash")
-    small, large = sync(roots, known), sync(roots, known, broadcast_rows=1)
+    small = sync(roots, known)
+    assert "BroadcastHashJoin" in plan(small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(small)
-        assert "_salt" in plan(large) and "SortMergeJoin" in plan(large)
+        large = sync(roots, known)
+        assert "SortMergeJoin" in plan(large)
         assert sorted(small.collect()) == sorted(large.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r.path for r in small.filter("not needs_resync").collect()} == {"shop.py", "copy.py"}
 
 
-def test_copies_of_one_file_spread_over_the_salts(spark):
-    copies = spark.range(4000).select(
-        F.concat(F.lit("p"), F.col("id")).alias("path"), F.lit("same").alias("root_hash")
-    )
-    known = spark.createDataFrame([("same",), ("other",)], "root_hash string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = sync(copies, known, broadcast_rows=0, salts=16)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert sum(sizes) == 4000 and max(sizes) < 3000
+def test_long_list_of_roots_becomes_a_table(spark, files):
+    roots = fingerprint(chunk(files)).select("path", "root_hash")
+    listed = [f"none-{i}" for i in range(500)] + [root_of(SMALL)]
+    assert {r.path for r in sync(roots, listed).filter("not needs_resync").collect()} == {"shop.py", "copy.py"}
 
 
 def test_simulated_service(spark):
     df = spark.createDataFrame([("a", "UNKNOWN_HASH_123"), ("b", "SIMULATED_KNOWN_HASH"), ("c", None)], "path string, root_hash string")
-    assert [r.needs_resync for r in sync(df).orderBy("path").collect()] == [True, False, True]
+    assert [r.needs_resync for r in sync(df, SIMULATED_KNOWN_ROOTS).orderBy("path").collect()] == [True, False, True]

@@ -12,7 +12,7 @@ from chunkloom.functions import (
 
 PATHS = [
     "src/file.py", "my_segment", "/abs/path/x.py", "trailing/", "a//b", "日本/é.py", "x" * 200,
-    "y" * 31 + "/" + "z" * 32 + "/" + "w" * 33, "a/very/long/path/to/a/file.py", "12345678", "/", "a b",
+    "y" * 31 + "/" + "z" * 32 + "/" + "w" * 33, "/".join("abcdefghij") + "/k.rs", "12345678", "/", "a b",
     "\U0001f600/f", "", None,
 ]
 
@@ -33,11 +33,17 @@ def test_pseudonyms_and_back(spark):
 
 
 def test_key_matters_and_a_wrong_key_does_not_fail(spark):
-    df = spark.createDataFrame([("src/other.txt",)], "p string")
+    df = spark.createDataFrame([("notes/2024/week 7.md",)], "p string")
     a, b = df.select(obfuscate_path(F.col("p"), "key1"), obfuscate_path(F.col("p"), "key2")).first()
     assert a != b
     wrong = df.select(deobfuscate_path(obfuscate_path(F.col("p"), "key1"), "key2")).first()[0]
-    assert wrong != "src/other.txt"
+    assert wrong is None
+
+
+def test_what_is_no_pseudonym_gives_null(spark):
+    df = spark.createDataFrame([("A/fv0u",), ("fv0u/!!!!",), ("fv0u",)], "p string")
+    got = [r[0] for r in df.select(deobfuscate_path(F.col("p"))).collect()]
+    assert got == [None, None, "src"]
 
 
 def test_ids(spark):

@@ -69,7 +69,8 @@ def test_listing_by_address(spark, tree):
 
 def test_nothing_inside_git(spark, tree):
     assert list_source_tree(spark, tree + "/.git/x").count() == 0
-    assert list_source_tree(spark, tree + "/absent").count() == 0
+    with pytest.raises(FileNotFoundError):
+        list_source_tree(spark, tree + "/absent")
     assert list_source_tree(spark, tree, suffix=".txt").count() == 1
 
 

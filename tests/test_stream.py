@@ -1,6 +1,7 @@
 import models
 from texts import LARGER, SMALL
 
+from chunkloom.functions import fail_when
 from chunkloom.streaming import read_file_stream, read_stream_index, stream_index
 
 FIRST = {"a.py": SMALL, "b.py": LARGER}
@@ -17,11 +18,13 @@ def rows(spark, out):
     return sorted(map(tuple, read_stream_index(spark, out).select(*cols).collect()), key=str)
 
 
-def run(spark, tmp_path):
+def run(spark, tmp_path, checkpoint="progress"):
     query = stream_index(
         read_file_stream(spark, str(tmp_path / "drop"), files_per_batch=1),
         str(tmp_path / "out"),
-        str(tmp_path / "progress"),
+        str(tmp_path / checkpoint),
+        fails=fail_when,
+        trigger={"availableNow": True},
     )
     query.awaitTermination()
 
@@ -52,3 +55,13 @@ def test_batches_restarts_and_replays(spark, tmp_path):
     (tmp_path / "progress" / "commits" / ".1.crc").unlink(missing_ok=True)
     run(spark, tmp_path)
     assert rows(spark, str(tmp_path / "out")) == want
+
+
+def test_new_checkpoint_keeps_what_another_stream_wrote(spark, tmp_path):
+    drop(spark, str(tmp_path / "drop"), {"one.py": SMALL})
+    run(spark, tmp_path)
+    run(spark, tmp_path, "later")
+    index = read_stream_index(spark, str(tmp_path / "out"))
+    found = index.groupBy("stream").pivot("status").count().collect()
+    # The second stream meets the file again and finds it in sync.
+    assert len(found) == 2 and {r.asDict().get("cached") for r in found} == {None, 3}

@@ -2,54 +2,58 @@
 
 import random
 
-SMALL = '''# shop.py
-class Basket:
-    def __init__(self, owner):
-        self.owner = owner
+SMALL = '''RATES = {"a": 0.1}
 
-    def total(self):
-        return sum(self.items)
 
-def price(item, count):
-    """Price of some items."""
-    return item * count
+@cached
+@traced("rate")
+def rate(kind):
+    def fallback(why=None):
+        return 0.0
 
-LIMIT = 10
+    return RATES.get(kind) or fallback()
+
+
+async def refresh(): await load()
+print(rate("a"))
 '''
 
-LARGER = '''# stock.py
-import sys
+LARGER = '''"""Tides."""
+from math import pi
+
+# Heights in metres.
+# Times in hours.
+class Tide(Base): period = 12.4
 
-class Store:
-    def __init__(self, place):
-        self.place = place
+@dataclass
+# stands between decorator and class
+class Harbour:
+    depth: float
 
-    def load(self):
-        # read the shelf
-        return True
+    @property
+    def shallow(self): return self.depth < 2
 
-    def empty(self):
-        return None
+    def at(self, hour):
+        ERRORS = []
+        class Local(Tide):
+            pass
+        return Local
 
-# may give an 'erro' later
-def broken():
-    # the erro is here
-    return "an erro value"
+def spring(moon): return pi * moon
+for m in range(3):
+    spring(m)
 '''
 
 # text, chunks in line mode, chunks in top-level mode
 COUNTED = [
     ("", 0, 0),
-    (" \n \t ", 0, 0),
-    ("a = 1\nb = 2\nprint(a * b)", 1, 1),
-    (SMALL, 5, 2),
-    (LARGER, 6, 3),
-    ("\nclass A:\n    def one(self):\n        pass\n\ndef two():\n    pass\n", 4, 2),
-    ("\n# top\nclass A:\n    def m(self):\n        return 1\n\nclass B(A): # sub\n    pass\n\n"
-     "def f():\n    return 2\n\ndef g(a, b): # two\n    return a + b\n", 6, 4),
-    ("\nclass T:\n    def m(self, p):\n        if p:\n            return 1\n", 3, 1),
-    ("\nclass E:\n    pass\n\ndef f():\n    return 'ok'\n", 3, 2),
-    ("\n@deco\ndef f():\n    pass\n\nclass C:\n    @other\n    def m(self):\n        pass\n", 4, 2),
+    ("\t\n   \n", 0, 0),
+    ("import os; print(os.sep)", 1, 1),
+    (SMALL, 3, 2),
+    (LARGER, 7, 4),
+    ("def a(): pass\r\nclass B:\r\n  def c(self): pass\r\n", 3, 2),
+    ("    def inner(): pass\n", 1, 1),
+    ("@one\n@two\n# three\ndef f(): pass\nx = f()\n", 2, 1),
 ]
 
 _PIECES = [
