@@ -43,10 +43,10 @@ SCOPE = frozenset("html body article main section div table ul ol dl nav header
 # What tags and the words of classes and ids usually mean, as log-odds.
 PRIOR = {
     "bias": -0.5, "tag:article": 3.0, "tag:main": 2.0, "tag:p": 1.0, "tag:pre": 1.0,
-    "tag:blockquote": 1.0, "tag:nav": -4.0, "tag:footer": -4.0, "tag:aside": -4.0,
+    "tag:blockquote": 1.0, "tag:h1": 1.0, "tag:h2": 1.0, "tag:h3": 1.0, "tag:nav": -4.0, "tag:footer": -4.0, "tag:aside": -4.0,
     "tag:header": -2.0, "tag:form": -4.0, "tag:button": -4.0, "tag:select": -4.0,
     "tag:option": -4.0, "tag:label": -3.0, "tag:menu": -4.0, "tag:dialog": -4.0,
-    "tag:head": -4.0, "good": 2.5, "bad": -5.0, "length": 0.15, "links": -2.0, "stops": 0.3,
+    "tag:head": -4.0, "good": 2.5, "bad": -9.0, "length": 0.15, "links": -2.0, "stops": 0.3,
 }
 GOOD = frozenset("article content entry post story main body text page".split())
 BAD = frozenset(
@@ -168,10 +168,16 @@ def dense(node: list) -> tuple[float, float, float]:
     return math.log1p(n), node[5] / n, min(3.0, 100.0 * node[6] / n)
 
 
+def opens(tag: str, good: bool) -> bool:
+    """May the node be content below one that is not?"""
+    return good or tag in ("article", "main")
+
+
 class Model:
     """Weights of the features and the chances of a child's state given its parent's."""
 
-    def __init__(self, weights: dict[str, float], child: list[list[float]], share: float):
+    def __init__(self, weights: dict[str, float], child: list, share: float):
+        """``child[opens][parent][state]``: separate chances for nodes that may open an article."""
         self.weights, self.child = weights, child
         self.base = math.log(share / (1 - share))
 
@@ -186,15 +192,17 @@ class Model:
 
     def marginals(self, nodes: list[list]) -> list[float]:
         """Log-odds of each node being content, by sum-product up and down the tree."""
-        (a, b), (c, d) = self.child  # from the parent's state: not content, content
         exp, log = math.exp, math.log
+        kinds = [opens(x[1], x[2]) for x in nodes]
         total = [self.own(x) for x in nodes]
         up = [0.0] * len(nodes)
         for i in range(len(nodes) - 1, 0, -1):
+            (a, b), (c, d) = self.child[kinds[i]]
             odds = exp(max(-30.0, min(30.0, total[i])))
             up[i] = log((c + d * odds) / (a + b * odds))
             total[nodes[i][0]] += up[i]
         for i in range(1, len(nodes)):
+            (a, b), (c, d) = self.child[kinds[i]]
             odds = exp(max(-30.0, min(30.0, total[nodes[i][0]] - up[i])))
             total[i] += log((b + d * odds) / (a + c * odds))
         return total
@@ -242,7 +250,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
         "length double, links double, stops double",
     ).toPandas()
     prior = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
-    child = np.array([[9.0, 1.0], [1.0, 9.0]])
+    child = np.array([[[99.0, 1.0], [1.0, 9.0]], [[1.0, 1.0], [1.0, 9.0]]])
     weights, content = prior.copy(), 0.5
     if len(rows):
         at = {f: i for i, f in enumerate(FEATURES)}
@@ -259,12 +267,15 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
             curve = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(FEATURES))
             weights = weights + np.linalg.solve(curve, gradient)
         below = rows[rows["above"].notna()]
-        # Any place may hold an exception: at least one in fifty.
-        for a in (0, 1):
-            for b in (0, 1):
-                child[a, b] += ((below["above"].astype(bool) == a) & (below["inside"] == b)).sum()
+        kind = np.array([opens(t, g) for t, g in zip(below["tag"], below["good"])], dtype=bool)
+        above, inside = below["above"].astype(bool).to_numpy(), below["inside"].astype(bool).to_numpy()
+        for k, a, b in np.ndindex(2, 2, 2):
+            child[k, a, b] += ((kind == k) & (above == a) & (inside == b)).sum()
         content = float(np.clip(y.mean(), 0.05, 0.95))
-    child = np.clip(child / child.sum(axis=1, keepdims=True), 0.02, 0.98)
+    # Content may hold an exception, one in fifty at least; what is not content hardly does.
+    child = child / child.sum(axis=2, keepdims=True)
+    child[:, 1] = np.clip(child[:, 1], 0.02, 0.98)
+    child[:, 0] = np.clip(child[:, 0], 0.001, 0.999)
     return Model(dict(zip(FEATURES, weights.tolist())), child.tolist(), content)
 
 
