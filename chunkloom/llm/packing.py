@@ -25,8 +25,8 @@ from chunkloom.sources.staging import stage
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Words, and pieces, whose ids a worker remembers, about 60 MB each; then it begins anew.
-REMEMBERED = 300_000
+#: So many words, and pieces of words, are remembered by a worker, about 60 and 200 MB; then it begins anew.
+REMEMBERED, REMEMBERED_PIECES = 300_000, 1_000_000
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -80,8 +80,8 @@ class WordIds:
         for word in words:
             m = self.plain.fullmatch(word)
             split.append((m[1], m[2].lower(), m[3]) if m else (word,))
-        new = {p for pieces in split for p in pieces} - self.pieces.keys() - {""}
-        if len(self.pieces) + len(new) > REMEMBERED:
+        new = {p for pieces in split for p in pieces if p and p not in self.pieces}
+        if len(self.pieces) + len(new) > REMEMBERED_PIECES:
             self.pieces = {"": b""}
             new = {p for pieces in split for p in pieces} - {""}
         self.pieces.setdefault("", b"")
@@ -94,7 +94,7 @@ class WordIds:
         # stay within words and are left to it.
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         seen = set().union(*split)
-        new = seen - self.words.keys()
+        new = {w for w in seen if w not in self.words}
         if len(self.words) + len(new) > REMEMBERED:
             self.words, new = {}, seen
         self._learn(list(new))
