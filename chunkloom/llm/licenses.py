@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.sources.staging import stage
+
 # Public license names and the notices that usually name them.
 NAMES = {
     "MIT": ("MIT License",),
@@ -77,15 +79,21 @@ SPELLINGS = (
 COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
 VERSION = r"\bv([0-9])"
 PLAIN = r"[^\p{L}\p{Nd}]+"
+PLAIN_BUT_NEWLINE = r"[^\p{L}\p{Nd}\n]+"
 
 
-def canonical(text: Column) -> Column:
-    """The form in which two spellings of a license are equal."""
+def _plain_lines(text: Column) -> Column:
+    """Canonical lines, each still within spaces, between newlines: no rule reaches over one."""
     found = F.regexp_replace(F.lower(text), COPYRIGHT, "")
     for old, new in SPELLINGS:
         found = F.replace(found, F.lit(old), F.lit(new))
     found = F.regexp_replace(found, VERSION, "version $1")
-    return F.trim(F.regexp_replace(found, PLAIN, " "))
+    return F.regexp_replace(found, PLAIN_BUT_NEWLINE, " ")
+
+
+def canonical(text: Column) -> Column:
+    """The form in which two spellings of a license are equal."""
+    return F.trim(F.regexp_replace(_plain_lines(text), "[ \n]+", " "))
 
 
 def known_licenses() -> list[tuple[str, str]]:
@@ -113,15 +121,21 @@ def find_licenses(
     line is looked up as a whole only.  Nothing shuffles while the known
     digests fit Spark's own limit for broadcasting; beyond it 32-byte digests do.
     """
-    text = F.col(text_col)
-    lines = F.split(text, "\n")
+    # One pass makes the lines of a text canonical and, joined, the whole of it.  The pass
+    # is a column of its own and is used more than once, so nothing repeats it.
+    plain = docs.filter(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("__llm_id"), _plain_lines(F.col(text_col)).alias("plain")
+    )
+    whole = F.regexp_replace("plain", "[ \n]+", " ")
     # An empty line never matches; keeping its place keeps the numbers.
-    parts = F.concat(F.array(text), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
-    rows = docs.filter(text.isNotNull()).select(
-        F.col(id_col).alias("__llm_id"), F.posexplode(parts).alias("line", "part")
+    lines = F.when(F.contains("plain", F.lit("\n")), F.split("plain", "\n"))
+    parts = F.concat(F.array(whole), F.coalesce(lines, F.array().cast("array<string>")))
+    rows = plain.select("__llm_id", F.posexplode(parts).alias("line", "part"))
+    # Stored, the digests have a size that Spark knows.
+    known = stage(known, "known-licenses")
+    hashed = rows.filter("part <> '' AND part <> ' '").select(
+        "__llm_id", "line", F.sha2(F.trim("part"), 256).alias("digest")
     )
-    plain = rows.select("__llm_id", "line", canonical(F.col("part")).alias("plain")).filter("plain <> ''")
-    hashed = plain.select("__llm_id", "line", F.sha2("plain", 256).alias("digest"))
     return hashed.join(known, "digest").select(
         F.col("__llm_id").alias(id_col), "line", "license_id", "digest"
     )
