@@ -39,6 +39,8 @@ SIZE = CHUNKS * CHUNK
 RADIUS = CHUNKS * (ERRORS + 1) - 1
 #: Buckets up to this size are compared pair by pair, larger ones by prefix filter.
 SMALL = 64
+#: Bound of the most frequent shingles that are broadcast, 8 bytes each.
+FREQUENT = 1 << 17
 #: Similarity in hundredths.
 PERCENT = 75
 
@@ -139,8 +141,8 @@ def _confirmed(batches: Iterator) -> Iterator:
         yield batch.select(["a", "b"]).filter(pa.array(flags, pa.bool_()))
 
 
-def _shingle_rows(batches: Iterator) -> Iterator:
-    """``(rep, comp, n, shingle)`` for each distinct shingle of each text."""
+def _sets(batches: Iterator) -> Iterator:
+    """``(rep, comp, shingles)`` with the distinct shingles of each text."""
     import numpy as np
     import pyarrow as pa
 
@@ -148,17 +150,39 @@ def _shingle_rows(batches: Iterator) -> Iterator:
 
     for batch in batches:
         for rep, comp, text in zip(*batch.columns):
-            found = shingles(text.as_py().encode()).view(np.int64)
-            n = len(found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, rep.as_py(), np.int64)),
-                    pa.array(np.full(n, comp.as_py(), np.int64)),
-                    pa.array(np.full(n, n, np.int64)),
-                    pa.array(found),
-                ],
-                names=["rep", "comp", "n", "shingle"],
-            )
+            found = pa.array([shingles(text.as_py().encode()).view(np.int64)], pa.list_(pa.int64()))
+            ends = [pa.array([rep.as_py()], pa.int64()), pa.array([comp.as_py()], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*ends, found], names=["rep", "comp", "shingles"])
+
+
+def _prefix_length(n: int) -> int:
+    """So many of the rarest of ``n`` shingles meet those of any similar set."""
+    return n - -(-n * PERCENT // 100) + 1
+
+
+def _rarer(frequent):
+    """``(rep, comp, n, left_out, shingle)``: shingles without the most frequent ones.
+
+    These come last in the order.  A set keeps them only if its prefix reaches them.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for rep, comp, values in zip(*batch.columns):
+                found = values.values.to_numpy()
+                n = len(found)
+                rare = found[~np.isin(found, frequent.value)]
+                if len(rare) < _prefix_length(n):
+                    rare = found
+                same = [np.full(len(rare), x, np.int64) for x in (rep.as_py(), comp.as_py(), n, n - len(rare))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (*same, rare)], names=["rep", "comp", "n", "left_out", "shingle"]
+                )
+
+    return run
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -190,26 +214,44 @@ def _confirm(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
 def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs across components that a prefix filter cannot exclude.
 
-    Shingles are ordered by how many of the documents hold them.  Sets of n
+    Shingles that one component alone holds can make no pair and come first in
+    the order, the others by how many of the documents hold them.  Sets of n
     shingles within the similarity share one of the first ``n - ceil(0.75 n) + 1``
-    in that order.
+    in that order.  The most frequent shingles, fewer than ``FREQUENT`` whatever the
+    corpus, are broadcast, so that sets whose prefix ends before them leave them out.
     """
+    import numpy as np
     from pyspark.sql import Window
 
     named = texts.join(rows.select(F.col("rep").alias("id"), "comp").distinct(), "id")
-    held = stage(
+    sets = stage(
         named.select("id", "comp", "text").mapInArrow(
-            _shingle_rows, "rep bigint, comp bigint, n bigint, shingle bigint"
+            _sets, "rep bigint, comp bigint, shingles array<bigint>"
         ),
-        "shingles",
+        "sets",
+    )
+    often = stage(
+        sets.select("comp", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("df"))
+        .filter("low < high")
+        .select("shingle", "df"),
+        "frequencies",
+    )
+    # Fewer than FREQUENT shingles can have more than this share of all places.
+    share = (often.agg(F.sum("df")).first()[0] or 0) // FREQUENT
+    top = often.filter(F.col("df") > share + 1).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
+    frequent = often.sparkSession.sparkContext.broadcast(top)
+    held = sets.mapInArrow(
+        _rarer(frequent), "rep bigint, comp bigint, n bigint, left_out bigint, shingle bigint"
     )
-    often = stage(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "frequencies")
-    rank = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
+    of_text = Window.partitionBy("rep")
+    before = F.col("n") - F.col("left_out") - F.count(F.lit(1)).over(of_text)
+    rank = before + F.row_number().over(of_text.orderBy("df", "shingle"))
     prefix = (
         held.join(often, "shingle")
         .withColumn("rank", rank)
         .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-        .filter("df > 1")
     )
     prefix = stage(
         prefix.select("rep", "comp", "n", "shingle", (F.col("n") - F.col("rank")).alias("rest")),
