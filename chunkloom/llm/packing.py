@@ -25,8 +25,8 @@ from chunkloom.sources.staging import stage
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: So many words, and pieces of words, are remembered by a worker, about 60 and 200 MB; then it begins anew.
-REMEMBERED, REMEMBERED_PIECES = 300_000, 1_000_000
+#: So many words and pieces of words are remembered by a worker, about 200 MB; then it begins anew.
+REMEMBERED = 1_000_000
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -43,8 +43,9 @@ class WordIds:
     The tokenizer drops white space and never joins what it separates, nor
     letters and punctuation, so the ids of a text are those of its words, and
     of the pieces of these, one after the other.  Ids of words and pieces are
-    remembered.  Texts that hold the spelling of an added token are encoded
-    whole.
+    remembered together, as a piece is a word too.  Pieces of letters alone need
+    no more than lower case and merges, so they go straight to the tokenizer's
+    model.  Texts that hold the spelling of an added token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,13 +57,19 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         # Words of ASCII and Latin-1 letters with punctuation around them; any other
         # word (digits, apostrophes, other scripts) is left to the tokenizer as it is.
         letters = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
         marks = r"[!-&(-/:-@\[-`{-~]*"
         self.plain = re.compile(f"({marks})([{letters}]+)({marks})")
+        # The model reads each byte of UTF-8 as the character that stands for it.
+        as_bytes = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelling = {
+            code: "".join(part for part, _ in as_bytes(chr(code)))
+            for code in range(0xDF, 0x100)
+            if code != 0xF7
+        }
 
     def _encode(self, pieces: list[str]) -> None:
         import numpy as np
@@ -73,32 +80,50 @@ class WordIds:
             ids = np.asarray(found.ids, dtype="<u4")
             ends = np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(part) + 1))
             data, ends = ids.tobytes(), (4 * ends).tolist()
-            self.pieces.update(zip(part, [data[a:b] for a, b in zip(ends, ends[1:])]))
+            self.known.update(zip(part, [data[a:b] for a, b in zip(ends, ends[1:])]))
 
-    def _learn(self, words: list[str]) -> None:
-        split = []
+    def _merge(self, pieces: list[str]) -> None:
+        """Learn pieces of lower-case letters."""
+        import numpy as np
+
+        merged, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        for piece in pieces:
+            spelled = piece if piece.isascii() else piece.translate(self.spelling)
+            ids.extend([token.id for token in merged(spelled)])
+            ends.append(4 * len(ids))
+        data = np.asarray(ids, dtype="<u4").tobytes()
+        self.known.update(zip(pieces, [data[a:b] for a, b in zip(ends, ends[1:])]))
+
+    def _learn(self, words: set[str]) -> None:
+        letters, other, split = set(), set(), []
         for word in words:
-            m = self.plain.fullmatch(word)
-            split.append((m[1], m[2].lower(), m[3]) if m else (word,))
-        new = {p for pieces in split for p in pieces if p and p not in self.pieces}
-        if len(self.pieces) + len(new) > REMEMBERED_PIECES:
-            self.pieces = {"": b""}
-            new = {p for pieces in split for p in pieces} - {""}
-        self.pieces.setdefault("", b"")
-        self._encode(list(new))
-        get = self.pieces.__getitem__
-        self.words.update(zip(words, [b"".join(map(get, pieces)) for pieces in split]))
+            if word.isascii() and word.isalpha():
+                parts = ("", word.lower(), "")
+            elif m := self.plain.fullmatch(word):
+                parts = (m[1], m[2].lower(), m[3])
+            else:
+                other.add(word)
+                continue
+            letters.add(parts[1])
+            if parts[1] != word:
+                other.add(parts[0])
+                other.add(parts[2])
+                split.append((word, parts))
+        self._merge(list(letters.difference(self.known)))
+        self._encode(list(other.difference(self.known)))
+        get = self.known.__getitem__
+        self.known.update([(word, b"".join(map(get, parts))) for word, parts in split])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         # Cut at four characters that are white space for any tokenizer; other kinds
         # stay within words and are left to it.
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         seen = set().union(*split)
-        new = {w for w in seen if w not in self.words}
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words, new = {}, seen
-        self._learn(list(new))
-        get = self.words.__getitem__
+        new = seen.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {"": b""}, seen
+        self._learn(new)
+        get = self.known.__getitem__
         found = [b"".join(map(get, words)) for words in split]
         for i, text in enumerate(texts):
             if any(x in text for x in self.added):
