@@ -1,16 +1,17 @@
 """Benchmark items that documents repeat, found with DataFrame functions only.
 
-A document's words give one hash per five-word shingle.  Where one of them is a
-shingle of an item, a window as long as that item is laid over the place.  Each
-distinct window and each item gets a SimHash of 60 bits in 6 blocks of 10.  Windows
+A document's words give one hash per five-word shingle.  A window as long as an item
+may stand anywhere, also across the ends of the document.  Only those are laid that
+hold as many shingles of items of their length as the wanted similarity takes at
+least, wherever in the items these stand, so passages in another order are found.
+Each distinct window and each item gets a SimHash of 60 bits in 6 blocks of 10.  Windows
 look items of their length up by block, and items are listed under every value
 within 3 bit errors of a block of theirs: 6 blocks with 4 errors each would be 24, so
 every pair within a Hamming distance of 23 meets.  Candidates within it are verified
 by the similarity of the shingle multisets, weighted by how often each occurs: the sum
 of the lesser counts over the sum of the greater ones, 0.75 or more.
 
-At that similarity windows share shingles with the item, so those without any need no
-fingerprint; their SimHash distance is 10 on average with a deviation of 3.
+At that similarity the SimHash distance is 10 on average with a deviation of 3.
 
 Defined cases: null texts, and texts or items with fewer than five words, match
 nothing; rows without an id match nothing; rows that share an id count as one
@@ -25,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import without_ids
+from chunkloom.llm.common import rows_among, without_ids
 from chunkloom.sources.staging import stage
 
 BLOCKS = 6
@@ -72,26 +73,64 @@ def _block(bits: str) -> str:
     return f"CAST(shiftrightunsigned({bits}, block * {BLOCK_BITS}) & {(1 << BLOCK_BITS) - 1} AS INT)"
 
 
+def _starts(least: str, where: str) -> str:
+    """Starts s with ``where`` of windows of m places that hold ``least`` of the sorted ``ats``.
+
+    The window from s on holds k of them if the k-th from the first one in it is still
+    inside.  Each start belongs to its first one, so all take one pass.
+    """
+    return f"""transform(array(CAST({least} AS INT)), k -> CASE WHEN size(ats) >= k THEN
+        filter(flatten(transform(sequence(0, size(ats) - k), i ->
+            CASE WHEN get(ats, i + k - 1) - m < get(ats, i) THEN
+                sequence(greatest(get(ats, i + k - 1) - m, get(ats, i - 1)) + 1, get(ats, i))
+            ELSE CAST(array() AS array<int>) END)), s -> {where})
+        ELSE CAST(array() AS array<int>) END)[0]"""
+
+
 def _windows(docs: DataFrame, marks: DataFrame, rounds: int) -> DataFrame:
-    """``(doc_id, start, m, window)``: places where an item of m shingles may stand."""
-    hashed = docs.select("doc_id", shingle_hashes("text").alias("hashes"))
-    spread = hashed.select("doc_id", "hashes", F.posexplode("hashes").alias("at", "shingle"))
-    found = []
-    for part in range(rounds):
-        some = marks.filter(F.pmod("shingle", F.lit(rounds)) == part)
-        begin = F.col("at") - F.col("nth")
-        # Hashes travel with a row only where a shingle was found.
-        found.append(
-            spread.join(F.broadcast(some), "shingle").select(
-                "doc_id",
-                begin.alias("start"),
-                "m",
-                F.slice(
-                    "hashes", F.greatest(begin, F.lit(0)) + 1, F.col("m") + F.least(begin, F.lit(0))
-                ).alias("window"),
-            )
-        )
-    return reduce(DataFrame.unionByName, found).distinct()
+    """``(doc_id, start, m, window)``: every place where an item of m shingles may stand.
+
+    A window of w shingles with c common ones is similar if c is P / (100 + P) of w + m
+    or more: of 2 m where it is whole, and P % of m at least where an end cuts it.
+    """
+    keyed = docs.withColumns({"one": F.xxhash64("text"), "two": F.xxhash64("text", F.lit("second"))})
+    row = ["doc_id", "one", "two"]
+    hashed = keyed.select(*row, shingle_hashes("text").alias("hashes"))
+    spread = hashed.select(*row, F.size("hashes").alias("n"), F.posexplode("hashes").alias("at", "shingle"))
+    hits = reduce(
+        DataFrame.unionByName,
+        [
+            spread.join(F.broadcast(marks.filter(F.pmod("shingle", F.lit(rounds)) == part)), "shingle")
+            .select(*row, "n", "m", "at")
+            for part in range(rounds)
+        ],
+    )
+    whole = _starts(f"({2 * PERCENT} * m + {99 + PERCENT}) div {100 + PERCENT}", "s BETWEEN 0 AND n - m")
+    cut = _starts(f"({PERCENT} * m + 99) div 100", "s NOT BETWEEN 0 AND n - m")
+    starts = stage(
+        hits.groupBy(*row, "n", "m")
+        .agg(F.array_sort(F.collect_set("at")).alias("ats"))
+        .select(*row, "m", F.expr(f"concat({whole}, {cut})").alias("starts"))
+        .filter("size(starts) > 0")
+        .groupBy(*row)
+        .agg(F.collect_list(F.struct("m", "starts")).alias("lengths")),
+        "starts",
+    )
+    # Only texts with such places are read again and hashed whole.
+    some, _ = rows_among(keyed, starts.select("doc_id"), "doc_id")
+    lengths = (
+        some.join(starts, row)
+        .select("doc_id", shingle_hashes("text").alias("hashes"), "lengths")
+        .select("doc_id", "hashes", F.explode("lengths").alias("length"))
+        .select("doc_id", "hashes", F.col("length.m").alias("m"), F.explode("length.starts").alias("start"))
+    )
+    begin = F.col("start")
+    return lengths.select(
+        "doc_id",
+        "start",
+        "m",
+        F.slice("hashes", F.greatest(begin, F.lit(0)) + 1, F.col("m") + F.least(begin, F.lit(0))).alias("window"),
+    ).distinct()
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -108,7 +147,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         "items",
     )
     marks = stage(
-        listed.select("m", F.posexplode("item").alias("nth", "shingle")).distinct(), "item-shingles"
+        listed.select("m", F.explode("item").alias("shingle")).distinct(), "item-shingles"
     )
     rounds = max(1, -(-marks.count() // ROUND))
     read = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -124,21 +163,24 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         "fingerprints",
     )
     each_block = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
-    looked = distinct.select("*", each_block).withColumn("value", F.expr(_block("bits")))
+    looked = distinct.select("m", "one", "two", "bits", each_block).withColumn("value", F.expr(_block("bits")))
     near = f"filter(sequence(0, {(1 << BLOCK_BITS) - 1}), x -> bit_count(x ^ own) <= {ERRORS})"
     index = (
-        listed.select("m", "item_id", "item", "item_bits", each_block)
+        listed.select("m", "item_id", "item_bits", each_block)
         .withColumn("own", F.expr(_block("item_bits")))
-        .select("m", "item_id", "item", "item_bits", "block", F.explode(F.expr(near)).alias("value"))
+        .select("m", "item_id", "item_bits", "block", F.explode(F.expr(near)).alias("value"))
     )
     candidates = (
         looked.join(index, ["m", "block", "value"])
         .filter(F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) <= RADIUS)
-        .select("m", "one", "two", "window", "item_id", "item")
+        .select("m", "one", "two", "item_id")
         .distinct()
     )
+    compared = candidates.join(distinct.drop("bits"), ["m", "one", "two"]).join(
+        listed.select("m", "item_id", "item"), ["m", "item_id"]
+    )
     similar = stage(
-        candidates.withColumn("similarity", weighted_similarity("window", "item"))
+        compared.withColumn("similarity", weighted_similarity("window", "item"))
         .filter(F.col("similarity") * 100 >= PERCENT)
         .select("m", "one", "two", "item_id", "similarity"),
         "similar",
