@@ -272,10 +272,10 @@ def _states(shared):
                     "line": table.column("line").to_pylist(),
                     "role": [model.roles[s // 2] for s in found],
                     "opens": [s % 2 == 0 for s in found],
-                    "body": table.column("body").to_pylist(),
+                    "text": table.column("text").to_pylist(),
                 },
                 schema=pa.schema(
-                    [("conv_id", pa.int64()), ("line", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("body", pa.string())]
+                    [("conv_id", pa.int64()), ("line", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("text", pa.string())]
                 ),
             )
 
@@ -324,14 +324,15 @@ def parse_transcripts(lines: DataFrame, order_by: Sequence[str], model: Model) -
 
     ``line`` counts from 0 in each conversation and ``turn`` is the line that
     opens the turn.  Rendered lines in order are the canonical transcript:
-    ``<|role|>`` stands on a line before each turn, markers are gone.
+    ``<|role|>`` stands on a line before each turn, whose marker is gone.  Lines that
+    open no turn keep their whole text, also if they look like a marker.
     """
     known = lines.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("bigint"), F.lit(-1).cast("bigint")))
     shared = lines.sparkSession.sparkContext.broadcast(model)
     numbered = stage(
         number_rows(with_symbols(known), list(order_by), within=["conv_id"], name="line")
         .withColumn("block", F.shiftright("line", 8))
-        .select("conv_id", "block", "line", "body", *SYMBOLS),
+        .select("conv_id", "block", "line", F.coalesce("text", F.lit("")).alias("text"), *SYMBOLS),
         "lines",
     )
     long = stage(numbered.filter("block > 0").select(F.col("conv_id").alias("long_id")).distinct(), "long")
@@ -343,18 +344,18 @@ def parse_transcripts(lines: DataFrame, order_by: Sequence[str], model: Model) -
     )
     ends = _block_ends(matrices, model.states)
     decoded = numbered.join(ends, ["conv_id", "block"], "left").select(
-        "conv_id", "block", "line", *SYMBOLS, "before", "at_end", "body"
+        "conv_id", "block", "line", *SYMBOLS, "before", "at_end", "text"
     )
     found = stage(
         _sorted_groups(decoded, ["conv_id", "block"], "line").mapInArrow(
-            _states(shared), "conv_id bigint, line bigint, role string, opens boolean, body string"
+            _states(shared), "conv_id bigint, line bigint, role string, opens boolean, text string"
         ),
         "states",
     )
-    header = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("body"))
+    header = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.regexp_replace("text", MARKER, ""))
     return _turns(found).select(
         "conv_id", "line", "turn", "role",
-        F.when(F.col("opens"), header).otherwise(F.col("body")).alias("rendered"),
+        F.when(F.col("opens"), header).otherwise(F.col("text")).alias("rendered"),
     )
 
 
