@@ -11,7 +11,7 @@ Extensions compare few words: a difference cover modulo ``COVER`` holds, for any
 places, a shift of less than ``COVER`` words that takes both to sampled places.  Pairs
 that are still equal there get the rest from the sorted suffixes of sampled places: the
 least common prefix between two ranks, by a sparse table.  Only texts in which a pair
-comes so far have suffixes sorted, and only of sampled places.
+is equal for ``COVER`` words have suffixes sorted, and only those of sampled places.
 
 Texts are taken many at a time, one after the other with a separator of its own after
 each, so that no run or extension crosses from one to the next; a text is always whole.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: A run has at least so many words and so many periods.
 LEAST_LENGTH, LEAST_PERIODS = 6, 4
 #: Words that are handled at a time; a longer text is handled alone.
-WORDS = 200_000
+WORDS = 400_000
 #: A perfect difference cover, every residue is a difference of two members.
 COVER = 31
 MEMBERS = (1, 5, 11, 24, 25, 27)
@@ -54,6 +54,24 @@ def _shifts() -> np.ndarray:
 SHIFTS = _shifts()
 
 
+def _few(words: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many words are equal from places i and j on, up to ``most``."""
+    found = np.zeros(len(i), np.int64)
+    alive = np.flatnonzero(most > 0)
+    step = 0
+    while len(alive):
+        alive = alive[words[i[alive] + step] == words[j[alive] + step]]
+        step += 1
+        found[alive] = step
+        alive = alive[most[alive] > step]
+    return found
+
+
+def _padded(words: np.ndarray) -> np.ndarray:
+    """Words and a number that differs from all; comparisons never pass the last word."""
+    return np.concatenate((words.astype(np.int32), np.full(2 * COVER, -1, np.int32)))
+
+
 class Extensions:
     """Longest common extensions to the right in an array of word numbers.
 
@@ -62,9 +80,8 @@ class Extensions:
 
     def __init__(self, words: np.ndarray):
         self.n = len(words)
-        # Padding with numbers that differ from all words; comparisons never pass the last word.
-        self.words = np.concatenate((words.astype(np.int32), np.full(2 * COVER, -1, np.int32)))
-        self.sorted = False
+        self.words = _padded(words)
+        self._sort()
 
     def _sort(self) -> None:
         """Ranks of sampled suffixes, and the sparse table of common prefixes of neighbours."""
@@ -95,34 +112,19 @@ class Extensions:
             a, b = (levels[k][slot[np.minimum(x + common, self.n)]] for x in (left, right))
             common += np.where((a == b) & (a >= 0), COVER << k, 0)
         if len(common):
-            common += self._few(left + common, right + common, np.full(len(common), COVER))
+            common += _few(self.words, left + common, right + common, np.full(len(common), COVER))
         self.rank, self.slot = rank, slot
         self.least = [common]
         while (width := 1 << len(self.least)) <= len(common):
             half = self.least[-1]
             self.least.append(np.minimum(half[: len(common) - width + 1], half[width // 2 :][: len(common) - width + 1]))
-        self.sorted = True
-
-    def _few(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """How many words are equal from i and j on, up to ``most``."""
-        found = np.zeros(len(i), np.int64)
-        alive = np.flatnonzero(most > 0)
-        step = 0
-        while len(alive):
-            alive = alive[self.words[i[alive] + step] == self.words[j[alive] + step]]
-            step += 1
-            found[alive] = step
-            alive = alive[most[alive] > step]
-        return found
 
     def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Lengths of the longest common extensions of places ``i < j``."""
         shift = SHIFTS[i % COVER, j % COVER]
-        found = self._few(i, j, shift)
+        found = _few(self.words, i, j, shift)
         deep = np.flatnonzero(found == shift)
         if len(deep):
-            if not self.sorted:
-                self._sort()
             at = [self.rank[self.slot[x[deep] + shift[deep]]] for x in (i, j)]
             low, high = np.minimum(*at), np.maximum(*at)
             found[deep] += self._between(low, high)
@@ -154,22 +156,44 @@ def _grid(words: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(periods)
 
 
-def find_runs(words: np.ndarray, longest: int) -> np.ndarray:
-    """``(start, end, period)`` of all runs of periods up to ``longest``, by start and period.
+def _extended(words: np.ndarray, ends: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Longest common extensions of places ``i < j`` of the same text.
+
+    ``ends`` are the places after each text's separator.  Suffixes are sorted
+    for the texts that hold a pair with ``COVER`` equal words.
+    """
+    found = _few(_padded(words), i, j, np.full(len(i), COVER))
+    deep = np.flatnonzero(found == COVER)
+    if not len(deep):
+        return found
+    of = np.searchsorted(ends, i[deep], side="right")
+    texts = np.unique(of)
+    starts = np.concatenate(([0], ends))[texts]
+    sizes = ends[texts] - starts
+    moved = np.cumsum(sizes) - sizes  # where these texts begin, one after the other
+    places = np.arange(sizes.sum()) + np.repeat(starts - moved, sizes)
+    shift = (moved - starts)[np.searchsorted(texts, of)] + COVER
+    found[deep] += Extensions(words[places])(i[deep] + shift, j[deep] + shift)
+    return found
+
 
-    ``words`` are numbers from 0 on; a word that must be in no run, as between
-    texts, is one that stands nowhere else.
+def find_runs(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``(start, end, period)`` of all runs, by start and period.
+
+    ``words`` are numbers from 0 on, text after text; the last word of each, before
+    the place in ``ends``, is a separator that stands nowhere else.
     """
-    words = np.concatenate((words, [words.max(initial=0) + 1]))
-    place, period = _grid(words, longest)
-    forward = Extensions(words)
-    ahead = forward(place, place + period)
-    # A stretch reaches back less than a grid step from its first grid point.
-    back = Extensions(np.concatenate((words[-2::-1], words[-1:])))
-    last = len(words) - 2
+    sizes = np.diff(ends, prepend=0)
+    place, period = _grid(words, int(sizes.max() - 1) // LEAST_PERIODS)
+    ahead = _extended(words, ends, place, place + period)
+    # Texts backwards, each with its separator behind it as before.
+    last = np.repeat(ends + ends - sizes - 2, sizes)  # place + mirror of each word
+    mirror = last - np.arange(len(words))
+    mirror[ends - 1] = ends - 1
     behind = np.zeros(len(place), np.int64)
-    some = np.flatnonzero(place > 0)
-    behind[some] = back(last - (place[some] + period[some] - 1), last - (place[some] - 1))
+    inner = np.flatnonzero(np.isin(place, ends - sizes, invert=True))  # not the first word of a text
+    one, two = mirror[place[inner] - 1], mirror[place[inner] + period[inner] - 1]
+    behind[inner] = _extended(words[mirror], ends, two, one)
     start, end = place - behind, place + period + ahead
     long = end - start >= np.maximum(LEAST_LENGTH, LEAST_PERIODS * period)
     found = np.stack((start, end, period), axis=1)[long]
@@ -193,17 +217,19 @@ def best_run(runs: list) -> tuple:
 
 def _described(texts: list[list[bytes]]) -> list[tuple]:
     """A result row for each text, given as its words."""
-    known: dict[bytes, int] = {}
-    numbers, ends = [], np.cumsum([len(words) + 1 for words in texts])
-    for words in texts:
-        numbers.extend([known.setdefault(w, len(known)) for w in words])
-        numbers.append(-1)
-    numbers = np.array(numbers, np.int64)
-    numbers[ends - 1] = len(known) + np.arange(len(texts))
-    longest = max((len(words) for words in texts), default=0) // LEAST_PERIODS
-    found = find_runs(numbers, longest) if longest else np.empty((0, 3), np.int64)
+    import pyarrow as pa
+
+    sizes = np.array([len(words) for words in texts], np.int64)
+    ends = np.cumsum(sizes + 1)
+    flat = pa.array([w for words in texts for w in words], pa.large_binary()).dictionary_encode()
+    numbers = np.zeros(ends[-1], np.int64)
+    separator = np.zeros(ends[-1], bool)
+    separator[ends - 1] = True
+    numbers[~separator] = flat.indices.to_numpy()
+    numbers[ends - 1] = len(flat.dictionary) + np.arange(len(texts))
+    found = find_runs(numbers, ends)
     of = np.searchsorted(ends, found[:, 0], side="right")
-    first = ends - np.array([len(words) + 1 for words in texts])
+    first = ends - sizes - 1
     mark = np.zeros(len(numbers) + 1, np.int64)
     np.add.at(mark, found[:, 0] + found[:, 2], 1)
     np.add.at(mark, found[:, 1], -1)
