@@ -9,11 +9,11 @@ the distance is 7.5 on average, and above 17 for about one pair in 10,000.
 
 Documents with equal shingle sets become one class first.  Members of a bucket
 are compared with its smallest member, which joins a group of n copies by n
-comparisons.  Only buckets that hold more than one component after that are
-compared further, and only across components: small ones directly, large ones by
-a prefix filter, which is exact: sets within the similarity share one of their
-rarest quarter of shingles, and a passage that many documents share is not
-rare.  Links are confirmed on the full shingle sets of the texts.
+comparisons.  Documents of buckets that hold more than one component after that
+are compared further, across components only and by a prefix filter, which is
+exact: sets within the similarity share one of their rarest quarter of shingles, and
+a passage that many documents share is not rare.  So a bucket's members are never
+paired with each other.  Links are confirmed on the full shingle sets of the texts.
 
 Defined cases: null and empty texts, and texts without words, have no shingles
 and are linked with nothing; a row without id likewise, and it stays; rows that
@@ -37,10 +37,10 @@ CHUNK = 5
 ERRORS = 2
 SIZE = CHUNKS * CHUNK
 RADIUS = CHUNKS * (ERRORS + 1) - 1
-#: Buckets up to this size are compared pair by pair, larger ones by prefix filter.
-SMALL = 64
 #: Bound of the most frequent shingles that are broadcast, 8 bytes each.
 FREQUENT = 1 << 17
+#: Shingles that a task counts at a time, 32 bytes each.
+COUNTED = 1 << 21
 #: Similarity in hundredths.
 PERCENT = 75
 
@@ -155,6 +155,40 @@ def _sets(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays([*ends, found], names=["rep", "comp", "shingles"])
 
 
+def _counted(batches: Iterator) -> Iterator:
+    """``(shingle, low, high, df)``: components and number of sets, added up within a task."""
+    import numpy as np
+    import pyarrow as pa
+
+    def summed(parts: list) -> list:
+        shingle, low, high, df = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(shingle, kind="stable")
+        first = np.flatnonzero(np.diff(shingle[order], prepend=shingle[order[0]] - 1))
+        return [
+            shingle[order[first]],
+            np.minimum.reduceat(low[order], first),
+            np.maximum.reduceat(high[order], first),
+            np.add.reduceat(df[order], first),
+        ]
+
+    names = ["shingle", "low", "high", "df"]
+    parts, size = [], 0
+    for batch in batches:
+        for comp, values in zip(batch.column("comp"), batch.column("shingles")):
+            found = values.values.to_numpy()
+            same = np.full(len(found), comp.as_py(), np.int64)
+            parts.append((found, same, same, np.ones(len(found), np.int64)))
+            size += len(found)
+            if size >= COUNTED:
+                parts = [summed(parts)]
+                size = len(parts[0][0])
+                if size >= COUNTED // 2:  # few are the same: hand them on
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names=names)
+                    parts, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed(parts)], names=names)
+
+
 def _prefix_length(n: int) -> int:
     """So many of the rarest of ``n`` shingles meet those of any similar set."""
     return n - -(-n * PERCENT // 100) + 1
@@ -223,17 +257,17 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
     import numpy as np
     from pyspark.sql import Window
 
-    named = texts.join(rows.select(F.col("rep").alias("id"), "comp").distinct(), "id")
+    named = texts.join(rows.select(F.col("rep").alias("id"), "comp"), "id")
     sets = stage(
         named.select("id", "comp", "text").mapInArrow(
             _sets, "rep bigint, comp bigint, shingles array<bigint>"
         ),
         "sets",
     )
+    counted = sets.mapInArrow(_counted, "shingle bigint, low bigint, high bigint, df bigint")
     often = stage(
-        sets.select("comp", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("df"))
+        counted.groupBy("shingle")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("df").alias("df"))
         .filter("low < high")
         .select("shingle", "df"),
         "frequencies",
@@ -273,38 +307,22 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of a bucket that are in different components and still untested."""
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(rep, comp)`` of documents in buckets of several components, stored.
+
+    The leaders of buckets are left out, as their pairs are known.
+    """
     named = stage(
-        members.join(labels, members["rep"] == labels["node"], "left").select(
-            "key", "leader", "rep", F.coalesce("label", "rep").alias("comp")
-        ),
+        members.filter("rep <> leader")
+        .join(labels, F.col("rep") == labels["node"], "left")
+        .select("key", "rep", F.coalesce("label", "rep").alias("comp")),
         "members",
     )
-    mixed = stage(
-        named.groupBy("key")
-        .agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")
-        )
-        .filter("low < high AND size > 2")
-        .select("key", "size"),
-        "mixed",
-    )
-    rows = stage(named.join(mixed, "key"), "unsettled")
-    some = rows.filter(F.col("size") <= SMALL)
-    other = some.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = (
-        some.filter("rep <> leader")
-        .join(other, "key")
-        .filter("rep < b AND comp <> comp_b")
-        .select(F.col("rep").alias("a"), "b")
-    )
-    large = stage(rows.filter(F.col("size") > SMALL).select("rep", "comp").distinct(), "large")
-    if large.head(1):
-        ids = stage(large.select("rep").distinct(), "large-ids")
-        needed, _ = rows_among(texts, ids, "id")
-        pairs = pairs.union(_prefix_pairs(large, needed))
-    return pairs.distinct()
+    keys = (
+        named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        .filter("low < high").select("key")
+    )
+    return stage(named.join(keys, "key").select("rep", "comp").distinct(), "mixed")
 
 
 def _shared_ids(signed: DataFrame, reps: DataFrame) -> DataFrame:
@@ -351,13 +369,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     members = stage(keys.join(buckets, "key"), "bucket-members")
     texts = read.filter("id IS NOT NULL AND text IS NOT NULL")
-    stars = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-    links = _confirm(stars.distinct(), reps, texts)
-    links = links.union(_shared_ids(signed, reps))
+    pairs = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+    links = _confirm(pairs.distinct(), reps, texts).union(_shared_ids(signed, reps))
     labels = components(links)
-    more = _confirm(_across(members, labels, texts), reps, texts)
-    if more.head(1):
-        labels = components(links.union(more))
+    mixed = _mixed(members, labels)
+    if mixed.head(1):
+        needed, _ = rows_among(texts, mixed.select("rep"), "id")
+        more = _confirm(_prefix_pairs(mixed, needed), reps, texts)
+        if more.head(1):
+            labels = components(links.union(more))
     final = stage(
         reps.join(labels, reps["rep"] == labels["node"], "left").select(
             F.col("digest").alias("class"), F.coalesce("label", "rep").alias("component")

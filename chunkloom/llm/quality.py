@@ -192,9 +192,18 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents, all columns, whose score reaches the threshold."""
+    """The documents, all columns, whose score reaches the threshold.
+
+    A null text counts as an empty one and is kept if that is; rows with a null or
+    repeated id are each judged by their own text; without labels the smoothed share
+    of good ones decides for all alike; an empty table stays empty.
+    """
     score = compile_score(*train(docs, labels, sample))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__llm_row")
     scored = with_statistics(docs.select(whole, "text"), [F.col("__llm_row")])
-    kept = scored.filter(score >= THRESHOLD)
+    # Spark pushes no filter through a projection that numbers rows.  Below it each use
+    # of a statistic in a rule would compute that statistic anew.
+    number = F.monotonically_increasing_id().alias("__llm_number")
+    scored = scored.select("__llm_row", score.alias("__llm_score"), number)
+    kept = scored.filter((F.col("__llm_score") >= THRESHOLD) & (F.col("__llm_number") >= 0))
     return kept.select(*[F.col(f"__llm_row.`{c}`").alias(c) for c in docs.columns])

@@ -75,9 +75,9 @@ def components(sets):
     return [root(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("small", [64, 2])
-def test_near(docs, monkeypatch, small):
-    monkeypatch.setattr(near_dedup, "SMALL", small)  # 2: all mixed buckets go by prefix filter
+@pytest.mark.parametrize("counted", [1 << 21, 1000])
+def test_near(docs, monkeypatch, counted):
+    monkeypatch.setattr(near_dedup, "COUNTED", counted)  # 1000: counts are handed on in parts
     sets = [shingles(t) for t in texts()]
     rows = near_dedup.near_duplicates(docs).collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
