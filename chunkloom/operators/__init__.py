@@ -21,12 +21,14 @@ from chunkloom.operators.manifest import (
     update_manifest,
     write_run,
 )
+from chunkloom.operators.pieces import chunk_pieces
 from chunkloom.operators.reuse import distinct_chunks, pending_chunks, reuse_embeddings
 from chunkloom.operators.sync import sync
 
 __all__ = [
     "chunk",
     "chunk_counts",
+    "chunk_pieces",
     "corpus_root",
     "diff_chunks",
     "diff_files",

@@ -18,10 +18,12 @@ from chunkloom.sources.staging import fresh_path
 
 _LISTING = "path string, is_dir boolean, length bigint, error string"
 _CONTENT = "path string, content binary, error string"
-_BYTES_PER_TASK = 64 << 20
-_LARGEST = 2**31 - 1
+BYTES_PER_TASK = 64 << 20
+LARGEST = 2**31 - 1
+#: Content that one Arrow batch holds, unless a single file has more.
+BATCH_BYTES = 16 << 20
 # Errors that another try would meet again.
-_LASTING = (FileNotFoundError, PermissionError, NotADirectoryError, IsADirectoryError)
+LASTING = (FileNotFoundError, PermissionError, NotADirectoryError, IsADirectoryError)
 
 
 def _lister(suffix: str, skip: str):
@@ -91,7 +93,7 @@ def _lister(suffix: str, skip: str):
                         if len(rows) >= 10_000:
                             yield pack(rows)
                             rows = []
-                except _LASTING as e:
+                except LASTING as e:
                     # Other errors may pass: the task fails and Spark tries it again.
                     rows.append((folder, False, 0, f"{type(e).__name__}: {e}"))
         if rows:
@@ -100,17 +102,21 @@ def _lister(suffix: str, skip: str):
     return run
 
 
+def open_file(path: str):
+    """The file of a listed path, open for reading and seeking."""
+    import pyarrow.fs as pafs
+
+    if "://" not in path:
+        return open(path, "rb")
+    store, inner = pafs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
 def _reader():
     """A task function that reads one file per input row."""
 
     def read(path: str) -> bytes:
-        import pyarrow.fs as pafs
-
-        if "://" not in path:
-            with open(path, "rb") as f:
-                return f.read()
-        store, inner = pafs.FileSystem.from_uri(path)
-        with store.open_input_file(inner) as f:
+        with open_file(path) as f:
             return f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,25 +139,25 @@ def _reader():
         for batch in batches:
             for path, length, error in zip(*(c.to_pylist() for c in batch.columns)):
                 content = None
-                if error is None and length >= _LARGEST:
-                    error = "larger than one value can be"  # known before it is read
+                if error is None and length >= LARGEST:
+                    error = "larger than one value can be: read it in pieces"  # known before
+                if rows and held + length > BATCH_BYTES:
+                    yield pack(rows)
+                    rows, held = [], 0
                 if error is None:
                     try:
                         content = read(path)
-                    except _LASTING as e:
+                    except LASTING as e:
                         error = f"{type(e).__name__}: {e}"
                 rows.append((path, content, error))
                 held += len(content or b"")
-                if held >= 16 << 20:
-                    yield pack(rows)
-                    rows, held = [], 0
         if rows:
             yield pack(rows)
 
     return run
 
 
-def _listed(spark: SparkSession, root: str, suffix: str, skip: str) -> DataFrame:
+def listed(spark: SparkSession, root: str, suffix: str, skip: str) -> DataFrame:
     """``(path, length, error)`` of files, and of folders that cannot be listed.
 
     Goes down one level of directories per job, each directory being a row, so
@@ -186,7 +192,7 @@ def list_source_tree(
     Directories named ``skip`` are not entered, and nothing is listed when
     ``root`` itself lies in one.  A root that cannot be listed is an error.
     """
-    return _listed(spark, root, suffix, skip).filter("error IS NULL").select("path", "length")
+    return listed(spark, root, suffix, skip).filter("error IS NULL").select("path", "length")
 
 
 def read_source_tree(
@@ -198,9 +204,9 @@ def read_source_tree(
     executors read the files.  A file that cannot be read has an ``error``, and
     so has a folder that cannot be listed.
     """
-    files = _listed(spark, root, suffix, skip)
+    files = listed(spark, root, suffix, skip)
     total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    tasks = max(spark.sparkContext.defaultParallelism, total // _BYTES_PER_TASK)
+    tasks = max(spark.sparkContext.defaultParallelism, total // BYTES_PER_TASK)
     return files.repartition(int(tasks)).mapInArrow(_reader(), _CONTENT)
 
 

@@ -221,6 +221,12 @@ def oracle_sql() -> dict[str, str]:
             """SELECT path, chunk_index, start_line::int AS start_line, end_line::int AS end_line,
               true_start::int AS true_start, true_end::int AS true_end FROM described""",
         ),
+        "pieced_chunks": _with(
+            DESCRIBED,
+            """SELECT path, chunk_index::bigint AS chunk_index, chunk, start_line::bigint AS start_line,
+              end_line::bigint AS end_line, true_start::bigint AS true_start,
+              true_end::bigint AS true_end FROM described""",
+        ),
         "leaf_hashes": _with(chunks, "SELECT path, chunk_index, chunk_hash FROM hashed"),
         "merkle_roots": _with(roots, "SELECT path, root_hash, n_chunks FROM roots"),
         "merkle_nodes": _with(

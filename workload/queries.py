@@ -20,6 +20,7 @@ from chunkloom.functions import (
 from chunkloom.operators import (
     chunk,
     chunk_counts,
+    chunk_pieces,
     corpus_root,
     diff_chunks,
     diff_files,
@@ -40,9 +41,11 @@ from chunkloom.operators import (
 from chunkloom.plans import index_chunks, merge_indexes, summary
 from chunkloom.sources import (
     decode_files,
+    decode_pieces,
     read_index,
     read_source_tree,
     read_spread,
+    read_tree_pieces,
     rejected_files,
     write_index,
 )
@@ -259,6 +262,14 @@ def source_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _below(root, decode_files(read_source_tree(spark, root)))
 
 
+def pieced_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of every document as a file of a tree that is read in pieces of two kilobytes."""
+    root = fresh_path(spark, "tree").removeprefix("file:")
+    files = inputs.files(spark, sf_dir).select("path", F.col("content").cast("binary").alias("content"))
+    _write_tree(files, root)
+    return _below(root, chunk_pieces(decode_pieces(read_tree_pieces(spark, root, piece_bytes=2048))))
+
+
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a file, some behind two bytes that are not UTF-8."""
     root = fresh_path(spark, "tree").removeprefix("file:")
@@ -314,6 +325,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pending_chunks": pending,
         "manifest_latest": manifest_latest,
         "source_tree": source_tree,
+        "pieced_chunks": pieced_chunks,
         "rejected_files": rejected,
         "stream_index": streamed_index,
     }
