@@ -61,16 +61,17 @@ def merkle_root(hashes: Column) -> Column:
     )
 
 
-def merkle_levels(hashes: Column) -> Column:
-    """All levels of the tree, leaves first; null when there are none."""
+def climb_levels(hashes: Column, height: Column) -> Column:
+    """The leaves and the levels above them, exactly ``height`` of these."""
+    return F.aggregate(
+        _steps(height),
+        F.array(hashes),
+        lambda levels, _: F.concat(levels, F.array(_parents(F.element_at(levels, -1)))),
+    )
 
-    def climb(h: Column) -> Column:
-        return F.aggregate(
-            _steps(tree_height(F.size(h))),
-            F.array(h),
-            lambda levels, _: F.concat(
-                levels, F.array(_parents(F.element_at(levels, -1)))
-            ),
-        )
 
-    return bind(hashes, lambda h: F.when(F.size(h) > 0, climb(h)))
+def merkle_levels(hashes: Column) -> Column:
+    """All levels of the tree, leaves first; null when there are none."""
+    return bind(
+        hashes, lambda h: F.when(F.size(h) > 0, climb_levels(h, tree_height(F.size(h))))
+    )

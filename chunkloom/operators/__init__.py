@@ -10,7 +10,14 @@ from chunkloom.operators.chunking import (
     nonblank,
     with_chunks_only,
 )
-from chunkloom.operators.corpus import corpus_root, group_roots, number_rows, reduce_blocks
+from chunkloom.operators.corpus import (
+    corpus_nodes,
+    corpus_root,
+    group_roots,
+    number_rows,
+    reduce_blocks,
+    tree_nodes,
+)
 from chunkloom.operators.diff import diff_chunks, diff_files
 from chunkloom.operators.fingerprint import file_roots, fingerprint, merkle_nodes, with_root
 from chunkloom.operators.manifest import (
@@ -29,6 +36,7 @@ __all__ = [
     "chunk",
     "chunk_counts",
     "chunk_pieces",
+    "corpus_nodes",
     "corpus_root",
     "diff_chunks",
     "diff_files",
@@ -51,6 +59,7 @@ __all__ = [
     "reuse_embeddings",
     "sync",
     "synced_roots",
+    "tree_nodes",
     "update_manifest",
     "with_chunks_only",
     "with_root",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkloom.functions.arrays import bind
-from chunkloom.functions.merkle import fold_levels, leaf_hash, tree_height
+from chunkloom.functions.merkle import climb_levels, fold_levels, leaf_hash, tree_height
 from chunkloom.sources.staging import stage
 
 BLOCK_BITS = 10
@@ -152,3 +152,87 @@ def corpus_root(
         F.max("root_hash").alias("root_hash"),
         F.coalesce(F.max("n_leaves"), F.lit(0)).cast("bigint").alias("n_leaves"),
     )
+
+
+def _block_levels(block: Column, entries: Column, bits: int) -> Column:
+    """All levels of one block as hex digests, its entries first.
+
+    The first block stops at its own root, as in :func:`_fold_block`.
+    """
+    return bind(
+        F.transform(F.array_sort(entries), lambda e: F.lower(F.hex(e["digest"]))),
+        lambda h: climb_levels(h, F.when(block == 0, tree_height(F.size(h))).otherwise(F.lit(bits))),
+    )
+
+
+def _block_nodes(blocks: DataFrame, keys: list[str], below: int, bits: int) -> DataFrame:
+    """The nodes of stored blocks above their entries, at their places in the whole tree."""
+    numbered = blocks.select(*keys, "_block", "_levels", F.posexplode("_levels").alias("_up", "_nodes"))
+    width = F.expr(f"shiftleft(1L, {bits} - _up)")
+    children = numbered.filter("_up > 0").select(
+        *keys, "_block", "_up", width.alias("_width"), F.get("_levels", F.col("_up") - 1).alias("_below"),
+        F.posexplode("_nodes").alias("_at", "hash"),
+    )
+    left = F.get("_below", F.col("_at") * 2)
+    return children.select(
+        *keys,
+        (F.col("_up") + below).cast("int").alias("level"),
+        (F.col("_block") * F.col("_width") + F.col("_at")).alias("pos"),
+        "hash",
+        left.alias("left_hash"),
+        F.coalesce(F.get("_below", F.col("_at") * 2 + 1), left).alias("right_hash"),
+    )
+
+
+def tree_nodes(
+    df: DataFrame,
+    order_by: Sequence[str],
+    text: str = "content",
+    within: Sequence[str] = (),
+    bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """Every node of the tree over all texts in order, or of one tree per group.
+
+    ``(keys, level, pos, hash, left_hash, right_hash)``; level 0 holds the leaves, whose
+    children are null, and a lone last node is its own right child.  A block of
+    ``2**bits`` nodes gives the ``bits`` levels above it, at their positions in the whole
+    tree, and its top is one entry of the next round; no row or task holds more
+    than a block, whatever the size of a tree.  A group leaves the rounds with its root.
+    """
+    keys = list(within)
+    names = list(dict.fromkeys([*keys, *order_by]))
+    leaves = stage(df.select(*names, F.unhex(leaf_hash(F.col(text))).alias("digest")), "leaves")
+    numbered = stage(
+        number_rows(leaves, [*order_by, "digest"], within=keys).select(*keys, "pos", "digest"), "numbered"
+    )
+    none = F.lit(None).cast("string")
+    nodes = numbered.select(
+        *keys, F.lit(0).alias("level"), "pos", F.lower(F.hex("digest")).alias("hash"),
+        none.alias("left_hash"), none.alias("right_hash"),
+    )
+    level, remaining, below = numbered, _largest_group(leaves, keys), 0
+    while remaining > 1:
+        blocks = stage(
+            level.withColumn("_block", F.shiftright("pos", bits))
+            .groupBy(*keys, "_block")
+            .agg(F.collect_list(F.struct("pos", "digest")).alias("_entries"))
+            .select(*keys, "_block", _block_levels(F.col("_block"), F.col("_entries"), bits).alias("_levels")),
+            "blocks",
+        )
+        nodes = nodes.unionByName(_block_nodes(blocks, keys, below, bits))
+        top = F.unhex(F.get(F.element_at("_levels", -1), F.lit(0)))
+        level = blocks.select(*keys, F.col("_block").alias("pos"), top.alias("digest"))
+        if keys:
+            going = blocks.filter("_block = 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            level = level.join(going, same, "left_semi")
+        remaining = (remaining + (1 << bits) - 1) >> bits
+        below += bits
+    return nodes
+
+
+def corpus_nodes(
+    df: DataFrame, order_by: Sequence[str], text: str = "content", bits: int = BLOCK_BITS
+) -> DataFrame:
+    """:func:`tree_nodes` of the one tree over a whole table."""
+    return tree_nodes(df, order_by, text, (), bits)

@@ -161,6 +161,16 @@ tree AS (SELECT pos, h, n FROM ordered
       || CASE WHEN count(*) = 1 THEN max(h) ELSE '' END), (max(n) + 1) // 2
   FROM tree WHERE n > 1 GROUP BY pos // 2)"""
 
+_CORPUS_NODES = """
+ordered AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, sha256(text) AS h,
+    count(*) OVER () AS n FROM documents),
+nodes AS (SELECT 0 AS level, pos, h, n, NULL::varchar AS l, NULL::varchar AS r FROM ordered
+  UNION ALL
+  SELECT max(level) + 1, pos // 2,
+    sha256(string_agg(h, '' ORDER BY pos) || CASE WHEN count(*) = 1 THEN max(h) ELSE '' END),
+    (max(n) + 1) // 2, arg_min(h, pos), arg_max(h, pos)
+  FROM nodes WHERE n > 1 GROUP BY pos // 2)"""
+
 _CONVERSATIONS = """
 ordered AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
     sha256(text) AS h, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
@@ -240,6 +250,11 @@ def oracle_sql() -> dict[str, str]:
               count(*) AS n_leaves FROM conversations GROUP BY conv_id) USING (conv_id)
               WHERE n = 1""",
         ),
+        "corpus_nodes": _with(
+            _CORPUS_NODES,
+            """SELECT level::int AS level, pos::bigint AS pos, h AS hash, l AS left_hash,
+              r AS right_hash FROM nodes""",
+        ),
         "corpus_root": _with(
             _CORPUS,
             """SELECT h AS root_hash, (SELECT count(*) FROM documents)::bigint AS n_leaves

@@ -21,6 +21,7 @@ from chunkloom.operators import (
     chunk,
     chunk_counts,
     chunk_pieces,
+    corpus_nodes,
     corpus_root,
     diff_chunks,
     diff_files,
@@ -109,6 +110,11 @@ def root_of_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_root(inputs.documents(spark, sf_dir), ["doc_id"], "text")
 
 
+def nodes_of_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of one tree over all documents, in blocks of 64."""
+    return corpus_nodes(inputs.documents(spark, sf_dir), ["doc_id"], "text", bits=6)
+
+
 def obfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.paths(spark, sf_dir).withColumn("pseudonym", obfuscate_path(F.col("path")))
 
@@ -307,6 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merkle_nodes": tree_nodes,
         "conversation_roots": conversation_roots,
         "corpus_root": root_of_corpus,
+        "corpus_nodes": nodes_of_corpus,
         "obfuscated": obfuscated,
         "deobfuscated": deobfuscated,
         "embedding_ids": embedding_ids,
