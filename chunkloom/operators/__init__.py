@@ -18,7 +18,7 @@ from chunkloom.operators.corpus import (
     reduce_blocks,
     tree_nodes,
 )
-from chunkloom.operators.diff import diff_chunks, diff_files
+from chunkloom.operators.diff import diff_chunks, diff_files, diff_trees, store_trees
 from chunkloom.operators.fingerprint import file_roots, fingerprint, merkle_nodes, with_root
 from chunkloom.operators.manifest import (
     file_states,
@@ -40,6 +40,7 @@ __all__ = [
     "corpus_root",
     "diff_chunks",
     "diff_files",
+    "diff_trees",
     "distinct_chunks",
     "explode_chunks",
     "file_roots",
@@ -57,6 +58,7 @@ __all__ = [
     "read_runs",
     "reduce_blocks",
     "reuse_embeddings",
+    "store_trees",
     "sync",
     "synced_roots",
     "tree_nodes",

@@ -301,6 +301,13 @@ def oracle_sql() -> dict[str, str]:
               status FROM idx""",
         ),
         "file_diff": _with(SNAPSHOTS, "SELECT * FROM changes"),
+        "tree_diff": _with(
+            SNAPSHOTS,
+            """SELECT coalesce(o.path, n.path) AS path, coalesce(o.pos, n.pos)::bigint AS pos,
+              o.h AS old_hash, n.h AS new_hash
+              FROM o_leaves o FULL OUTER JOIN n_leaves n ON o.path = n.path AND o.pos = n.pos
+              WHERE o.h IS DISTINCT FROM n.h""",
+        ),
         "chunk_diff": _with(
             f"""{SNAPSHOTS},
             sided AS (SELECT path, chunk_hash, 1 AS o, 0 AS n FROM o_hashed

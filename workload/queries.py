@@ -25,6 +25,7 @@ from chunkloom.operators import (
     corpus_root,
     diff_chunks,
     diff_files,
+    diff_trees,
     explode_chunks,
     file_roots,
     fingerprint,
@@ -36,6 +37,7 @@ from chunkloom.operators import (
     nonblank,
     pending_chunks,
     reuse_embeddings,
+    store_trees,
     sync,
     update_manifest,
 )
@@ -203,6 +205,12 @@ def chunk_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff_chunks(old, new)
 
 
+def tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of chunks that differ, found from the stored trees of both snapshots."""
+    snapshots = (inputs.old_snapshot(spark, sf_dir), inputs.new_snapshot(spark, sf_dir))
+    return diff_trees(spark, *(store_trees(inputs.fingerprints(s)) for s in snapshots))
+
+
 def _chunks_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All chunks, and a cache that holds those of every third document."""
 
@@ -328,6 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary": run_summary,
         "file_diff": file_diff,
         "chunk_diff": chunk_diff,
+        "tree_diff": tree_diff,
         "reuse_embeddings": reused,
         "pending_chunks": pending,
         "manifest_latest": manifest_latest,
