@@ -47,21 +47,24 @@ def diff_chunks(old: DataFrame, new: DataFrame) -> DataFrame:
     are counted, not paired, so a chunk repeated any number of times is one
     small sum that is pre-aggregated before the shuffle.
     """
-    # Both sides are computed once; after that only their hashes are read.
-    hashes = F.transform("chunk_hashes", F.unhex).alias("hashes")
-    stored = [
-        stage(d.select("path", F.unhex("root_hash").alias("root_hash"), F.size("chunk_hashes").alias("n_chunks"), hashes), name)
-        for d, name in ((old, "old-hashes"), (new, "new-hashes"))
-    ]
-    differing = stage(
-        _sides(*stored, "root_hash", "n_chunks").filter(F.col("change") != "unchanged").select("path"),
-        "differing",
-    )
+    # Both sides are computed once, in one pass; after that only their hashes are read.
     sides = [
-        d.join(differing, "path", "left_semi").select("path", F.lit(is_new).alias("is_new"), F.explode("hashes").alias("_hash"))
-        for is_new, d in enumerate(stored)
+        d.select(
+            "path",
+            F.lit(is_new).alias("is_new"),
+            F.struct(F.unhex("root_hash").alias("root"), F.size("chunk_hashes").alias("n")).alias("tree"),
+            F.transform("chunk_hashes", F.unhex).alias("hashes"),
+        )
+        for is_new, d in enumerate((old, new))
     ]
-    rows = sides[0].unionByName(sides[1])
+    stored = stage(sides[0].unionByName(sides[1]), "snapshots")
+    differing = (
+        stored.groupBy("path")
+        .agg(F.count(F.lit(1)).alias("_sides"), F.min("tree").alias("_low"), F.max("tree").alias("_high"))
+        .filter("_sides < 2 OR _low <> _high")
+        .select("path")
+    )
+    rows = stored.join(differing, "path", "left_semi").select("path", "is_new", F.explode("hashes").alias("_hash"))
     counts = rows.groupBy("path", "_hash").agg(
         F.sum(1 - F.col("is_new")).alias("n_old"), F.sum("is_new").alias("n_new")
     )

@@ -8,6 +8,29 @@ from pyspark.sql import functions as F
 from chunkloom.sources.staging import stage
 
 
+def _places(chunks: DataFrame) -> DataFrame:
+    """``(chunk_hash, path, chunk_index, n_copies)``: the first place of each hash, no text.
+
+    Aggregated per task before the shuffle, so a chunk that a third of all
+    files share still sends one row per task.
+    """
+    first = F.min(F.struct("path", "chunk_index")).alias("_first")
+    return (
+        chunks.groupBy("chunk_hash")
+        .agg(first, F.count(F.lit(1)).alias("n_copies"))
+        .select("chunk_hash", "_first.*", "n_copies")
+    )
+
+
+def _with_text(places: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Adds the text at each place; rows that stand several times give one."""
+    place = ["chunk_hash", "path", "chunk_index"]
+    found = chunks.select(*place, "chunk").join(places, place)
+    kept = [F.any_value(c).alias(c) for c in found.columns if c != "chunk_hash"]
+    one = found.groupBy("chunk_hash").agg(*kept)
+    return one.select(*place, "chunk", *[c for c in places.columns if c not in place])
+
+
 def distinct_chunks(chunks: DataFrame) -> DataFrame:
     """One row per chunk hash: its first place, its text and its copies.
 
@@ -38,8 +61,8 @@ def reuse_embeddings(chunks: DataFrame, cache: DataFrame) -> DataFrame:
 def pending_chunks(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     """Only the distinct chunks that the cache does not hold.
 
-    The hashes of the cache are stored once, so that Spark knows their size:
-    small ones are broadcast and cached chunks drop out before any shuffle.
+    Hashes alone are compared with the cache, and stored with their places; texts are
+    then read for chunks that are pending and for no others.
     """
-    cached = stage(cache.select("chunk_hash").distinct(), "cached-hashes")
-    return distinct_chunks(chunks.join(cached, "chunk_hash", "left_anti"))
+    missing = _places(chunks).join(cache.select("chunk_hash").distinct(), "chunk_hash", "left_anti")
+    return _with_text(stage(missing, "pending"), chunks)

@@ -101,3 +101,23 @@ def test_stored_runs(spark, tmp_path):
     assert roots == [models.root([models.sha(A), models.sha(B)])]
     again = index_chunks(df, synced_roots(read_runs(spark, folder)), fails=fail_when)
     assert dict(again.groupBy("original_file_path").agg(F.max("status")).collect()) == {"a": "cached", "b": "failed"}
+
+
+def test_no_text_before_the_cache_is_asked(spark, monkeypatch):
+    from chunkloom.operators import reuse
+
+    plans = []
+    stage = reuse.stage
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(reuse, "stage", seen)
+    chunks = spark.createDataFrame([("p", 0, "h", "text")] * 2, "path string, chunk_index int, chunk_hash string, chunk string")
+    cache = spark.createDataFrame([("k", "e")], "chunk_hash string, embedding string")
+    rows = pending_chunks(chunks, cache).collect()
+    assert [(r.path, r.chunk, r.n_copies) for r in rows] == [("p", "text", 2)]
+    assert len(plans) == 1 and "Anti" in plans[0]
+    for line in plans[0].splitlines():
+        assert not (("Exchange" in line or "Sort" in line) and "chunk#" in line), line

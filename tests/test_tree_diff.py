@@ -85,5 +85,5 @@ def test_sides_of_a_chunk_diff_are_read_once(spark, monkeypatch):
     stage = module.stage
     monkeypatch.setattr(module, "stage", lambda df, name: names.append(name) or stage(df, name))
     plan = diff_chunks(old, new)._jdf.queryExecution().optimizedPlan().toString()
-    assert names == ["old-hashes", "new-hashes", "differing"]
+    assert names == ["snapshots"]
     assert "sha2" not in plan and "LogicalRDD" not in plan
