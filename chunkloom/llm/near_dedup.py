@@ -8,8 +8,8 @@ each chunk is indexed once for every choice of 2 values to leave out: 60 keys of
 the distance is 7.5 on average, and above 17 for about one pair in 10,000.
 
 Documents with equal shingle sets become one class first.  Members of a bucket
-are compared with its smallest member, which joins a group of n copies by n
-comparisons.  Documents of buckets that hold more than one component after that
+are compared with its leader, the member that shares buckets with most others,
+which joins a group of n copies by n comparisons.  Documents of buckets that hold more than one component after that
 are compared further, across components only and by a prefix filter, which is
 exact: sets within the similarity share one of their rarest quarter of shingles, and
 a passage that many documents share is not rare.  So a bucket's members are never
@@ -307,6 +307,22 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _led(members: DataFrame) -> DataFrame:
+    """``(key, rep, leader)``, stored, from ``(key, rep, size)``.
+
+    The leader of a bucket is the member whose own buckets have the most members, and
+    of these the least: in a group of near copies that is the text the others stem
+    from, or the one most like them, whatever its id.
+    """
+    weights = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    weighed = stage(members.join(weights, "rep").select("key", "rep", "weight"), "weighed")
+    leaders = weighed.groupBy("key").agg(
+        F.min(F.struct((-F.col("weight")).alias("rank"), "rep")).alias("first")
+    )
+    found = leaders.select("key", F.col("first.rep").alias("leader"))
+    return stage(weighed.select("key", "rep").join(found, "key"), "led")
+
+
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``(rep, comp)`` of documents in buckets of several components, stored.
 
@@ -361,13 +377,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     keys = reps.select("rep", "signature").mapInArrow(_keys, "key bigint, rep bigint")
     buckets = stage(
-        keys.groupBy("key")
-        .agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
-        .filter("leader < last")
-        .select("key", "leader"),
-        "buckets",
+        keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets"
     )
-    members = stage(keys.join(buckets, "key"), "bucket-members")
+    members = _led(stage(keys.join(buckets, "key"), "bucket-members"))
     texts = read.filter("id IS NOT NULL AND text IS NOT NULL")
     pairs = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     links = _confirm(pairs.distinct(), reps, texts).union(_shared_ids(signed, reps))
