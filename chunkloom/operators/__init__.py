@@ -21,6 +21,8 @@ from chunkloom.operators.corpus import (
 from chunkloom.operators.diff import diff_chunks, diff_files, diff_trees, store_trees
 from chunkloom.operators.fingerprint import file_roots, fingerprint, merkle_nodes, with_root
 from chunkloom.operators.manifest import (
+    compact,
+    drop_covered,
     file_states,
     latest,
     read_runs,
@@ -36,12 +38,14 @@ __all__ = [
     "chunk",
     "chunk_counts",
     "chunk_pieces",
+    "compact",
     "corpus_nodes",
     "corpus_root",
     "diff_chunks",
     "diff_files",
     "diff_trees",
     "distinct_chunks",
+    "drop_covered",
     "explode_chunks",
     "file_roots",
     "file_states",

@@ -1,11 +1,21 @@
-"""The manifest: which root each path had in which run."""
+"""The manifest: which root each path had in which run.
+
+Runs are a log, one folder each; a snapshot stands for the runs before it, so that
+reading costs the snapshot and the few runs since, however many there were.
+"""
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.sources.staging import create_empty, discard, names
+
 SCHEMA = "path string, root_hash string, n_chunks int, n_failed bigint"
+_STORED = f"{SCHEMA}, stream string, run_id bigint"
 _FIELDS = ("path", "root_hash", "n_chunks", "n_failed")
 
 
@@ -40,28 +50,112 @@ def file_states(index: DataFrame) -> DataFrame:
 
 
 def write_run(states: DataFrame, folder: str, run_id: int, stream: str = "batch") -> None:
-    """Store one run of a stream; writing the same run again replaces it."""
+    """Store one run of a stream; writing the same run again replaces it.
+
+    A run that a snapshot holds already can no longer be replaced.
+    """
+    covered = _covered(states.sparkSession, folder, stream)
+    if covered and run_id < covered[-1][0]:
+        raise ValueError(f"run {run_id} of {stream} is part of a snapshot")
     target = f"{folder}/stream={stream}/run_id={run_id}"
     states.select(*_FIELDS).write.mode("overwrite").parquet(target)
 
 
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
+    """Entries ``<prefix><number>`` or ``<prefix><number>.<rest>`` of a folder, by number."""
+    found = (e.removeprefix(prefix) for e in names(spark, folder) if e.startswith(prefix))
+    parts = (e.partition(".") for e in found)
+    return sorted((int(number), rest) for number, _, rest in parts if number.isdecimal())
+
+
+def _covered(spark: SparkSession, folder: str, stream: str) -> list[tuple[int, str]]:
+    """``(first run not covered, snapshot)`` of each published snapshot of a stream."""
+    return _numbered(spark, f"{folder}/_current/{stream}", "upto=")
+
+
+def _stream_rows(spark: SparkSession, folder: str, stream: str, before: int | None) -> DataFrame:
+    """The newest snapshot that holds no run from ``before`` on, and the runs after it."""
+    dropped = _numbered(spark, f"{folder}/_current/{stream}", "dropped=")
+    if before is not None and dropped and before < dropped[-1][0]:
+        raise ValueError(f"runs of {stream} before {dropped[-1][0]} are only kept as a snapshot")
+    usable = [s for s in _covered(spark, folder, stream) if before is None or s[0] <= before]
+    start, snapshot = usable[-1] if usable else (None, None)
+    runs = [
+        f"{folder}/stream={stream}/run_id={n}"
+        for n, _ in _numbered(spark, f"{folder}/stream={stream}", "run_id=")
+        if (start is None or n >= start) and (before is None or n < before)
+    ]
+    rows = spark.createDataFrame([], _STORED)
+    if runs:
+        rows = spark.read.schema(_STORED).option("basePath", folder).parquet(*runs)
+    if snapshot:
+        held = spark.read.schema(_STORED).parquet(f"{folder}/_snapshots/{stream}/{snapshot}")
+        rows = held.unionByName(rows) if runs else held
+    return rows
+
+
 def read_runs(
     spark: SparkSession, folder: str, before: int | None = None, stream: str = "batch"
 ) -> DataFrame:
     """All stored runs; empty if there are none.
 
     With ``before`` only the runs of ``stream`` before that one, and those of all
-    other streams.
+    other streams.  Where a stream has a snapshot, its rows stand for the runs it covers.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    exists = root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
-    schema = f"{SCHEMA}, stream string, run_id bigint"
-    if not exists:
-        return spark.createDataFrame([], schema)
-    runs = spark.read.schema(schema).parquet(folder)
-    return runs if before is None else runs.filter(
-        (F.col("run_id") < before) | (F.col("stream") != stream)
-    )
+    found = {e.removeprefix("stream=") for e in names(spark, folder) if e.startswith("stream=")}
+    rows = [
+        _stream_rows(spark, folder, s, before if s == stream else None)
+        for s in sorted(found | set(names(spark, f"{folder}/_current")))
+    ]
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], _STORED)
+
+
+def compact(
+    spark: SparkSession, folder: str, stream: str = "batch", before: int | None = None, at_least: int = 1
+) -> bool:
+    """Fold the runs of a stream, those before ``before`` if given, into a snapshot.
+
+    The snapshot has one row for each distinct state of a path, with the newest run that
+    saw it: ``latest`` and ``synced_roots`` give what they give over the runs.  It is
+    written under a name of its own and then published by an empty file whose name holds
+    that name and the first run not covered; creating it is the only step readers can see,
+    and the highest one is current.  Nothing is done for fewer than ``at_least`` runs since
+    the last snapshot.  Returns whether a snapshot was published.
+    """
+    covered = _covered(spark, folder, stream)
+    start = covered[-1][0] if covered else None
+    runs = [n for n, _ in _numbered(spark, f"{folder}/stream={stream}", "run_id=")]
+    later = [n for n in runs if (start is None or n >= start) and (before is None or n < before)]
+    if len(later) < max(at_least, 1):
+        return False
+    upto, name = later[-1] + 1, uuid.uuid4().hex
+    rows = _stream_rows(spark, folder, stream, upto)
+    newest = rows.groupBy(*_FIELDS).agg(F.max("run_id").alias("run_id"))
+    snapshot = newest.withColumn("stream", F.lit(stream))
+    snapshot.write.parquet(f"{folder}/_snapshots/{stream}/{name}")
+    create_empty(spark, f"{folder}/_current/{stream}/upto={upto}.{name}")
+    return True
+
+
+def drop_covered(spark: SparkSession, folder: str, stream: str = "batch") -> None:
+    """Remove the runs and snapshots that the current snapshot of a stream replaces.
+
+    Queries that still read them fail, so call it when none runs.  Afterwards the stream
+    cannot be read as it was before a removed run: asking for that is an error.
+    """
+    covered = _covered(spark, folder, stream)
+    if not covered:
+        return
+    upto, current = covered[-1]
+    create_empty(spark, f"{folder}/_current/{stream}/dropped={upto}")
+    for number, name in covered[:-1]:
+        discard(spark, f"{folder}/_current/{stream}/upto={number}.{name}")
+    for name in names(spark, f"{folder}/_snapshots/{stream}"):
+        if name in {s for _, s in covered} - {current}:
+            discard(spark, f"{folder}/_snapshots/{stream}/{name}")
+    for number, _ in _numbered(spark, f"{folder}/stream={stream}", "run_id="):
+        if number < upto:
+            discard(spark, f"{folder}/stream={stream}/run_id={number}")
 
 
 def synced_roots(states: DataFrame) -> DataFrame:

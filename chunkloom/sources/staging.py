@@ -41,7 +41,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, as the session is set up."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared folder, through the session's own file systems."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    location, system = _located(spark, path)
+    system.delete(location, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if there is no such folder."""
+    location, system = _located(spark, path)
+    if not system.exists(location):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(location))
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file; its name is all it says, so it is there whole or not at all."""
+    location, system = _located(spark, path)
+    system.create(location, True).close()

@@ -36,10 +36,17 @@ def from_table(df: DataFrame, path: str | Column, content: str | Column) -> Data
     return df.select(as_column(path).alias("path"), as_column(content).alias("content"))
 
 
-def write_index(index: DataFrame, folder: str, mode: str = "append") -> None:
-    """Store index rows as parquet, one partition per status."""
-    index.write.mode(mode).partitionBy("status").parquet(folder)
+def write_index(index: DataFrame, folder: str, mode: str = "append", run_id: int | None = None) -> None:
+    """Store index rows as parquet, one partition per status.
+
+    With ``run_id`` the rows go to a folder of that run, whatever the mode, and replace what
+    an earlier try of the same run left: a repeated run doubles nothing.  A folder holds
+    rows either with runs or without.
+    """
+    target, how = (folder, mode) if run_id is None else (f"{folder}/run_id={run_id}", "overwrite")
+    index.write.mode(how).partitionBy("status").parquet(target)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored index rows, with their ``run_id`` where they were written with one."""
     return spark.read.parquet(folder)

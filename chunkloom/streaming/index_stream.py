@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chunkloom.functions.paths import DEFAULT_KEY
-from chunkloom.operators.manifest import file_states, read_runs, synced_roots, write_run
+from chunkloom.operators.manifest import (
+    compact,
+    file_states,
+    read_runs,
+    synced_roots,
+    write_run,
+)
 from chunkloom.operators.sync import sync
 from chunkloom.plans.index import describe_chunks, route
 
@@ -30,11 +36,16 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The stream that a checkpoint belongs to: an id kept in a folder inside it."""
     folder = f"{checkpoint.rstrip('/')}/stream-id"
     try:
-        return spark.read.schema("id string").json(folder).first()["id"]
+        stored = spark.read.schema("id string").json(folder).first()
     except AnalysisException:
-        found = uuid.uuid4().hex
-        spark.createDataFrame([(found,)], "id string").coalesce(1).write.json(folder)
-        return found
+        stored = None
+    if stored:
+        return stored["id"]
+    # None yet, or a folder that a crash left empty: no batch can have run.
+    found = uuid.uuid4().hex
+    rows = spark.createDataFrame([(found,)], "id string").coalesce(1)
+    rows.write.mode("overwrite").json(folder)
+    return found
 
 
 def stream_index(
@@ -46,6 +57,7 @@ def stream_index(
     pattern: str | None = None,
     fails: Callable[[Column], Column] | None = None,
     trigger: dict | None = None,
+    compact_every: int = 16,
 ) -> StreamingQuery:
     """Index a stream of files into ``out/chunks`` and ``out/manifest``.
 
@@ -54,6 +66,8 @@ def stream_index(
     and writes to folders that carry its id and that of its stream, which the
     checkpoint keeps: a batch that runs again after a failure replaces its own
     output, and a stream with another checkpoint never that of an earlier one.
+    After ``compact_every`` runs a batch first folds those before it into a snapshot of
+    the manifest, so it reads the snapshot and fewer runs than that.
     ``trigger`` has the arguments of ``DataStreamWriter.trigger``; by default
     what there is gets indexed and the stream ends.
     """
@@ -62,12 +76,14 @@ def stream_index(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        runs = read_runs(spark, f"{out}/manifest", before=batch_id, stream=stream)
+        manifest = f"{out}/manifest"
+        compact(spark, manifest, stream, before=batch_id, at_least=compact_every)
+        runs = read_runs(spark, manifest, before=batch_id, stream=stream)
         synced = sync(batch, synced_roots(runs))
         target = f"{out}/chunks/stream={stream}/batch_id={batch_id}"
         route(synced).write.mode("overwrite").parquet(target)
         written = spark.read.parquet(target)
-        write_run(file_states(written), f"{out}/manifest", batch_id, stream)
+        write_run(file_states(written), manifest, batch_id, stream)
 
     return (
         described.writeStream.foreachBatch(write_batch)

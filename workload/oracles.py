@@ -114,10 +114,25 @@ INDEX = f"""{DESCRIBED}, {_roots()}, {KNOWN},
 idx AS (SELECT {_INDEX_COLUMNS}
   FROM described d JOIN roots r USING (path) LEFT JOIN known k ON k.root_hash = r.root_hash)"""
 
-_UNSYNCED = f"""{DESCRIBED}, {_roots()},
-idx AS (SELECT {_INDEX_COLUMNS}
-  FROM described d JOIN roots r USING (path)
-  LEFT JOIN (SELECT NULL::varchar AS root_hash) k ON k.root_hash = r.root_hash)"""
+# Both states as one set of files; the first two characters of a path tell which.
+_TWO_STATES = f"""{CODE_FILES},
+files AS (SELECT '0|' || path AS path,
+    content || CASE WHEN doc_id % 3 = 1 THEN chr(10) || '# v0' ELSE '' END AS content
+    FROM code_files WHERE doc_id % 11 <> 0
+  UNION ALL SELECT '1|' || path, content FROM code_files WHERE doc_id % 13 <> 0),
+{_chunks()}, paths AS (SELECT path, {_pseudonym('substr(path, 3)')} AS obf FROM files),
+{_SPANS}, {_roots()},
+waves AS (SELECT * FROM (VALUES (0, '0'), (1, '1'), (2, '1')) v (batch_id, state)),
+failed AS (SELECT DISTINCT path FROM described WHERE fails),
+known AS (SELECT DISTINCT w.batch_id, r.root_hash FROM roots r JOIN waves w
+    ON substr(r.path, 1, 1)::int < w.batch_id WHERE r.path NOT IN (SELECT path FROM failed)),
+idx AS (SELECT w.batch_id, {_INDEX_COLUMNS.replace('d.path AS', 'substr(d.path, 3) AS')}
+  FROM described d JOIN roots r USING (path) JOIN waves w ON w.state = substr(d.path, 1, 1)
+  LEFT JOIN known k ON k.root_hash = r.root_hash AND k.batch_id = w.batch_id)"""
+
+_CLASS_CHUNKS = """
+c_hashed AS (SELECT path, row_number() OVER (PARTITION BY path ORDER BY chunk_index) - 1
+    AS chunk_index, chunk_hash FROM hashed WHERE contains(chunk, 'class '))"""
 
 SNAPSHOTS = f"""{CODE_FILES},
 old_files AS (SELECT path, content || CASE WHEN doc_id % 3 = 1 THEN chr(10) || '# v0' ELSE '' END
@@ -342,8 +357,30 @@ def oracle_sql() -> dict[str, str]:
         "rejected_files": """SELECT concat('doc_', doc_id, '.py') AS path, 'not valid UTF-8' AS error
             FROM documents WHERE doc_id % 7 = 3""",
         "stream_index": _with(
-            _UNSYNCED,
-            """SELECT original_file_path, chunk_index, embedding_id, lines, status, root_hash
-              FROM idx""",
+            _TWO_STATES,
+            """SELECT batch_id, original_file_path, chunk_index, embedding_id, lines, status,
+              root_hash FROM idx""",
+        ),
+        "stored_manifest": _with(
+            _TWO_STATES,
+            """SELECT original_file_path, chunk_index, embedding_id, lines, status
+              FROM idx WHERE batch_id = 1""",
+        ),
+        "compacted_manifest": _with(
+            f"""{_TWO_STATES},
+            states AS (SELECT original_file_path AS path, batch_id + 1 AS run_id, root_hash,
+                count(*) AS n_chunks, count(*) FILTER (status = 'failed') AS n_failed
+              FROM idx WHERE batch_id < 2 GROUP BY original_file_path, batch_id, root_hash)""",
+            """SELECT path, max(run_id)::bigint AS run_id, arg_max(root_hash, run_id) AS root_hash,
+              arg_max(n_chunks, run_id)::int AS n_chunks, arg_max(n_failed, run_id) AS n_failed
+              FROM states GROUP BY path""",
+        ),
+        "files_with_chunks": _with(
+            f"{chunks}, {_CLASS_CHUNKS}",
+            "SELECT path, count(*)::int AS n_chunks FROM c_hashed GROUP BY path",
+        ),
+        "files_with_root": _with(
+            f"{chunks}, {_CLASS_CHUNKS}, {_roots('c_')}",
+            "SELECT path, root_hash, n_chunks FROM c_roots",
         ),
     }

@@ -21,25 +21,34 @@ from chunkloom.operators import (
     chunk,
     chunk_counts,
     chunk_pieces,
+    compact,
     corpus_nodes,
     corpus_root,
     diff_chunks,
     diff_files,
     diff_trees,
+    drop_covered,
     explode_chunks,
     file_roots,
+    file_states,
     fingerprint,
     group_roots,
+    latest,
     line_spans,
     lines,
     matching_files,
     merkle_nodes,
     nonblank,
     pending_chunks,
+    read_runs,
     reuse_embeddings,
     store_trees,
     sync,
+    synced_roots,
     update_manifest,
+    with_chunks_only,
+    with_root,
+    write_run,
 )
 from chunkloom.plans import index_chunks, merge_indexes, summary
 from chunkloom.sources import (
@@ -52,7 +61,7 @@ from chunkloom.sources import (
     rejected_files,
     write_index,
 )
-from chunkloom.sources.staging import fresh_path
+from chunkloom.sources.staging import fresh_path, stage
 from chunkloom.streaming import read_file_stream, read_stream_index, stream_index
 from workload import inputs
 
@@ -173,8 +182,10 @@ def index_true_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index written twice under one run, as after a failed try."""
     folder = fresh_path(spark, "index")
-    write_index(index(spark, sf_dir), folder)
+    for _ in range(2):
+        write_index(index(spark, sf_dir), folder, run_id=1)
     return read_index(spark, folder).groupBy("status").agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.count("embedding_id").alias("n_ids"),
@@ -297,15 +308,61 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents through the stream, from a drop folder to the chunk table."""
+    """Three batches from a drop folder: an earlier state, the new one, and that again."""
     drop, out, checkpoint = (fresh_path(spark, n) for n in ("drop", "stream", "progress"))
-    inputs.files(spark, sf_dir).write.parquet(drop)
-    stream_index(read_file_stream(spark, drop), out, checkpoint, fails=fail_when).awaitTermination()
+    states = (inputs.old_snapshot, inputs.new_snapshot, inputs.new_snapshot)
+    for state in states:
+        state(spark, sf_dir).select("path", "content").write.mode("append").parquet(drop)
+        files = read_file_stream(spark, drop)
+        stream_index(files, out, checkpoint, fails=fail_when, compact_every=1).awaitTermination()
     return read_stream_index(spark, out).select(
-        "original_file_path", "chunk_index", "embedding_id", "lines", "status", "root_hash"
+        F.col("batch_id").cast("int").alias("batch_id"),
+        *("original_file_path", "chunk_index", "embedding_id", "lines", "status", "root_hash"),
     )
 
 
+def _second_index(spark: SparkSession, sf_dir: str, manifest: str) -> DataFrame:
+    """The new state indexed against the stored run of the earlier one; both runs are stored."""
+
+    def run(files: DataFrame, run_id: int) -> DataFrame:
+        known = synced_roots(read_runs(spark, manifest, before=run_id))
+        rows = stage(index_chunks(files, known, fails=fail_when), "run")
+        write_run(file_states(rows), manifest, run_id)
+        return rows
+
+    run(inputs.old_snapshot(spark, sf_dir), 1)
+    return run(inputs.new_snapshot(spark, sf_dir), 2)
+
+
+def stored_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two runs that know each other by the stored manifest alone."""
+    rows = _second_index(spark, sf_dir, fresh_path(spark, "manifest"))
+    return rows.select("original_file_path", "chunk_index", "embedding_id", "lines", "status")
+
+
+def compacted_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest state of each path from a snapshot, the runs behind it removed."""
+    manifest = fresh_path(spark, "manifest")
+    _second_index(spark, sf_dir, manifest)
+    compact(spark, manifest)
+    drop_covered(spark, manifest)
+    return latest(read_runs(spark, manifest)).drop("stream")
+
+
+def _class_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with only those of their chunks that define a class; many have none."""
+    with_class = F.filter("chunks", lambda c: F.contains(c, F.lit("class ")))
+    return chunk(inputs.files(spark, sf_dir)).withColumn("chunks", with_class)
+
+
+def files_with_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_counts(with_chunks_only(_class_chunks(spark, sf_dir)))
+
+
+def files_with_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_roots(with_root(fingerprint(_class_chunks(spark, sf_dir))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "matching_files": matched_files,
@@ -344,4 +401,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pieced_chunks": pieced_chunks,
         "rejected_files": rejected,
         "stream_index": streamed_index,
+        "stored_manifest": stored_manifest,
+        "compacted_manifest": compacted_manifest,
+        "files_with_chunks": files_with_chunks,
+        "files_with_root": files_with_root,
     }
