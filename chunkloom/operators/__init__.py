@@ -18,6 +18,7 @@ from chunkloom.operators.corpus import (
     reduce_blocks,
     tree_nodes,
 )
+from chunkloom.operators.corpus_store import store_corpus, stored_root, update_corpus
 from chunkloom.operators.diff import diff_chunks, diff_files, diff_trees, store_trees
 from chunkloom.operators.fingerprint import file_roots, fingerprint, merkle_nodes, with_root
 from chunkloom.operators.manifest import (
@@ -62,10 +63,13 @@ __all__ = [
     "read_runs",
     "reduce_blocks",
     "reuse_embeddings",
+    "store_corpus",
     "store_trees",
+    "stored_root",
     "sync",
     "synced_roots",
     "tree_nodes",
+    "update_corpus",
     "update_manifest",
     "with_chunks_only",
     "with_root",

@@ -77,3 +77,11 @@ def old_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def new_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_files(spark, sf_dir).filter("doc_id % 13 <> 0")
+
+
+def old_corpus(docs: DataFrame) -> DataFrame:
+    """An earlier corpus: the last tenth of the ids missing, some texts with a line more."""
+    last = docs.agg((F.max("doc_id") * 9 / 10).alias("_last"))
+    earlier = docs.join(F.broadcast(last), F.col("doc_id") <= F.col("_last")).drop("_last")
+    older = F.concat("text", F.lit("\n# v0"))
+    return earlier.withColumn("text", F.when(F.col("doc_id") % 97 == 5, older).otherwise(F.col("text")))

@@ -176,6 +176,18 @@ tree AS (SELECT pos, h, n FROM ordered
       || CASE WHEN count(*) = 1 THEN max(h) ELSE '' END), (max(n) + 1) // 2
   FROM tree WHERE n > 1 GROUP BY pos // 2)"""
 
+_TWO_CORPORA = """
+states AS (SELECT 'new' AS state, doc_id, text FROM documents
+  UNION ALL SELECT 'old', doc_id, text || CASE WHEN doc_id % 97 = 5 THEN chr(10) || '# v0' ELSE '' END
+  FROM documents WHERE doc_id <= (SELECT max(doc_id) * 9 / 10 FROM documents)),
+ordered AS (SELECT state, row_number() OVER (PARTITION BY state ORDER BY doc_id) - 1 AS pos,
+    sha256(text) AS h, count(*) OVER (PARTITION BY state) AS n FROM states),
+tree AS (SELECT state, pos, h, n FROM ordered
+  UNION ALL
+  SELECT state, pos // 2, sha256(string_agg(h, '' ORDER BY pos)
+      || CASE WHEN count(*) = 1 THEN max(h) ELSE '' END), (max(n) + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY state, pos // 2)"""
+
 _CORPUS_NODES = """
 ordered AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, sha256(text) AS h,
     count(*) OVER () AS n FROM documents),
@@ -270,6 +282,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT level::int AS level, pos::bigint AS pos, h AS hash, l AS left_hash,
               r AS right_hash FROM nodes""",
         ),
+        "updated_corpus_root": _with(
+            _TWO_CORPORA,
+            """SELECT state, h AS root_hash, (SELECT count(*) FROM states s WHERE s.state = t.state)
+              AS n_leaves FROM tree t WHERE n = 1""",
+        ),
         "corpus_root": _with(
             _CORPUS,
             """SELECT h AS root_hash, (SELECT count(*) FROM documents)::bigint AS n_leaves

@@ -42,9 +42,12 @@ from chunkloom.operators import (
     pending_chunks,
     read_runs,
     reuse_embeddings,
+    store_corpus,
     store_trees,
+    stored_root,
     sync,
     synced_roots,
+    update_corpus,
     update_manifest,
     with_chunks_only,
     with_root,
@@ -126,6 +129,20 @@ def nodes_of_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_nodes(inputs.documents(spark, sf_dir), ["doc_id"], "text", bits=6)
 
 
+def updated_corpus_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The root of an earlier corpus, and the one after texts were changed and appended."""
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
+    old = inputs.old_corpus(docs)
+    # Rows as they are now of texts that changed or were not there yet.
+    same = old.withColumnsRenamed({"doc_id": "_id", "text": "_text"})
+    delta = docs.join(same, (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text")), "left_anti")
+    folder = fresh_path(spark, "corpus")
+    store_corpus(old, folder, "doc_id", "text", bits=6)
+    before = stage(stored_root(spark, folder).withColumn("state", F.lit("old")), "root")
+    update_corpus(delta, folder, "doc_id", "text")
+    return before.unionByName(stored_root(spark, folder).withColumn("state", F.lit("new")))
+
+
 def obfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.paths(spark, sf_dir).withColumn("pseudonym", obfuscate_path(F.col("path")))
 
@@ -379,6 +396,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conversation_roots": conversation_roots,
         "corpus_root": root_of_corpus,
         "corpus_nodes": nodes_of_corpus,
+        "updated_corpus_root": updated_corpus_root,
         "obfuscated": obfuscated,
         "deobfuscated": deobfuscated,
         "embedding_ids": embedding_ids,
