@@ -55,12 +55,14 @@ def rows_among(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, Data
     """Split ``df`` by a filter over ``ids``: (rows that may be among them, rows that are not).
 
     ``ids`` is a stored table of one column.  Rows are split as they are
-    scanned, before any shuffle, so those that cannot match never move.
+    scanned, before any shuffle, so those that cannot match never move.  Keys are
+    hashed as the type of ``ids``: equal numbers of other types have other hashes.
     """
     (name,) = ids.columns
+    kind = ids.schema[name].dataType
     bits = log_bits(ids.count())
     words = bloom_words(ids.select(cell(F.xxhash64(name), bits).alias("c")))
-    marked = probe(df, words, cell(F.xxhash64(key), bits), "__llm_may")
+    marked = probe(df, words, cell(F.xxhash64(F.col(key).cast(kind)), bits), "__llm_may")
     return (
         marked.filter("__llm_may").drop("__llm_may"),
         marked.filter("NOT __llm_may").drop("__llm_may"),

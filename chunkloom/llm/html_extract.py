@@ -11,7 +11,11 @@ weights, so that tags and names no page of the sample has keep their usual meani
 and potentials of parent and child by smoothed counts.
 
 Defined cases: a null or empty page has empty text; broken markup is read as far as
-it goes, unclosed elements end with their parent; without any page that marks its
+it goes, unclosed elements end with their parent; an unclosed script, style, title, textarea
+or iframe takes the rest of the page, any other element that is left out whole the text up
+to the next block or the end of its parent; from the first quote of a tag that never ends on,
+quotes mean nothing and tags end at the next ``>``; what follows a last ``<`` without one is
+text; a page takes time in proportion to its length; without any page that marks its
 article the prior weights alone decide; ids may be null or repeated.
 """
 
@@ -36,6 +40,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe svg math object canvas".split())
+TO_THE_END = frozenset("script style title textarea iframe".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
              "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 SCOPE = frozenset("html body article main section div table ul ol dl nav header footer aside form blockquote".split())
@@ -61,9 +66,9 @@ FEATURES = (
     "bias", *(f"tag:{t}" for t in sorted(BLOCKS)), "tag:other", "good", "bad", *DENSE
 )
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S
-)
+_BEGIN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_PLAIN_REST = re.compile(r"([^>]*+)>")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-zA-Z]+")
 _STOP = re.compile(r"[.,;:!?]")
@@ -81,26 +86,49 @@ class Page:
         self.texts: list[tuple[int, int, str]] = []
         self.marked = False
         self._open: list[tuple[str, int]] = [("html", 0)]  # element and the node it belongs to
-        self._links, self._block, at = 0, 0, 0
-        while (tag := _TAG.search(source, at)) is not None:
-            if tag.start() > at:
-                self._text(source[at : tag.start()])
-            at, name = tag.end(), tag[2]
+        self._links, self._block, self._muted = 0, 0, 0
+        at, rest, unclosed = 0, _REST, set()
+        while (begin := _BEGIN.search(source, at)) is not None:
+            name = begin[3]
+            if begin[1]:
+                end = source.find("-->", begin.end())
+                stop = len(source) if end < 0 else end + 3
+            else:
+                tag = (rest if name else _PLAIN_REST).match(source, begin.end())
+                if tag is None and name and rest is _REST:
+                    # Read so only once: to fail takes a look at all that follows.
+                    rest = _PLAIN_REST
+                    tag = rest.match(source, begin.end())
+                if tag is None:
+                    break
+                stop = tag.end()
+            if begin.start() > at:
+                self._text(source[at : begin.start()])
+            at = stop
             if name is None:
                 continue
             name = name.lower()
-            if tag[1]:
+            if begin[2]:
                 self._end(name)
-            elif name in RAW:
-                if not tag[3].endswith("/"):
+            elif name not in RAW:
+                self._start(name, tag[1])
+            elif not tag[1].endswith("/"):
+                end = None
+                if name not in unclosed:
                     end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else len(source)
-            else:
-                self._start(name, tag[3])
+                if end:
+                    at = end.end()
+                elif name in TO_THE_END:
+                    at = len(source)
+                else:
+                    unclosed.add(name)
+                    self._muted = len(self._open)
         if at < len(source):
             self._text(source[at:])
 
     def _text(self, raw: str) -> None:
+        if self._muted:
+            return
         text = html.unescape(raw) if "&" in raw else raw
         node = self._open[-1][1]
         self.texts.append((node, self._block, text))
@@ -111,6 +139,8 @@ class Page:
 
     def _start(self, name: str, attributes: str) -> None:
         block = name in BLOCKS
+        if block:
+            self._muted = 0
         if block and name != "hr":
             ends = CLOSED_BY.get(name, set()) | {"p"}
             for depth in range(len(self._open) - 1, 0, -1):
@@ -158,6 +188,8 @@ class Page:
             self._block += name in BLOCKS
             self._links -= name == "a"
         del self._open[depth:]
+        if depth < self._muted:
+            self._muted = 0
 
 
 def dense(node: list) -> tuple[float, float, float]:

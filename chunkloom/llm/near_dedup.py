@@ -27,6 +27,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from chunkloom.llm.common import rows_among, without_ids
 from chunkloom.llm.components import components
@@ -360,8 +361,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents of a component reach each other by links of a Jaccard similarity
     of 0.75 or more between their sets of five-word shingles; its smallest id
-    names it and is the one that stays.
+    names it and is the one that stays.  Ids are whole numbers of any size; others,
+    such as strings, are an error.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} is {docs.schema[id_col].dataType.simpleString()}, not a whole number")
     read = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = stage(
         read.mapInArrow(
