@@ -32,7 +32,12 @@ from chunkloom.operators.manifest import (
     write_run,
 )
 from chunkloom.operators.pieces import chunk_pieces
-from chunkloom.operators.reuse import distinct_chunks, pending_chunks, reuse_embeddings
+from chunkloom.operators.reuse import (
+    distinct_chunks,
+    pending_chunks,
+    reuse_embeddings,
+    store_cache,
+)
 from chunkloom.operators.sync import sync
 
 __all__ = [
@@ -63,6 +68,7 @@ __all__ = [
     "read_runs",
     "reduce_blocks",
     "reuse_embeddings",
+    "store_cache",
     "store_corpus",
     "store_trees",
     "stored_root",

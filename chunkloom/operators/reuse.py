@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkloom.sources.staging import stage
+from chunkloom.sources.staging import fresh_path, stage
 
 
 def _places(chunks: DataFrame) -> DataFrame:
@@ -66,3 +66,21 @@ def pending_chunks(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     """
     missing = _places(chunks).join(cache.select("chunk_hash").distinct(), "chunk_hash", "left_anti")
     return _with_text(stage(missing, "pending"), chunks)
+
+
+def store_cache(cache: DataFrame, name: str, folder: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Store a cache as the table ``name``, bucketed by hash, and return it.
+
+    One row per hash, with its smallest embedding.  With as many buckets as the session has
+    shuffle partitions, the default, ``reuse_embeddings`` and ``pending_chunks`` shuffle
+    the chunks alone and the cache stays where it lies, run after run.  The files go to ``folder``,
+    by default a new one in the shared folder.
+    """
+    spark: SparkSession = cache.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = cache.filter("chunk_hash IS NOT NULL").groupBy("chunk_hash").agg(F.min("embedding").alias("embedding"))
+    # Dealt as the buckets are, so that each task writes one file.
+    dealt = rows.repartition(buckets, "chunk_hash")
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, "chunk_hash").sortBy("chunk_hash")
+    writer.option("path", folder or fresh_path(spark, "cache")).saveAsTable(name)
+    return spark.table(name)

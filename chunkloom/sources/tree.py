@@ -22,10 +22,23 @@ BYTES_PER_TASK = 64 << 20
 LARGEST = 2**31 - 1
 #: Content that one Arrow batch holds, unless a single file has more.
 BATCH_BYTES = 16 << 20
+# The kinds of URI that the readers inside the tasks can open.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
 # Errors that another try would meet again.
 LASTING = (FileNotFoundError, PermissionError, NotADirectoryError, IsADirectoryError)
 
 
+def check_root(root: str) -> None:
+    """Refuse roots of other kinds before any task runs.
+
+    Tasks open files through Arrow, which has its own names (``s3``, not ``s3a``) and takes
+    credentials from the environment of the executors, not from the session.
+    """
+    scheme, found, _ = root.partition("://")
+    if found and scheme.lower() not in SCHEMES:
+        raise ValueError(f"{scheme}:// cannot be read; use a path or one of {', '.join(SCHEMES)}")
+
+
 def _lister(suffix: str, skip: str):
     """A task function that lists one directory per input row."""
 
@@ -164,6 +177,7 @@ def listed(spark: SparkSession, root: str, suffix: str, skip: str) -> DataFrame:
     that a lopsided tree is still listed by all executors and never by the
     driver.
     """
+    check_root(root)
     root = root.rstrip("/") or "/"
     if skip in root.split("/"):
         return spark.createDataFrame([], "path string, length bigint, error string")

@@ -225,6 +225,11 @@ run_rows AS (SELECT path, 1::bigint AS run_id, root_hash, n_chunks FROM o_roots
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _oracle_sql()
+    return found | {"stored_cache": found["reuse_embeddings"]}
+
+
+def _oracle_sql() -> dict[str, str]:
     chunks = f"{_FILES}, {_chunks()}"
     roots = f"{chunks}, {_roots()}"
     return {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ from chunkloom.operators import (
     pending_chunks,
     read_runs,
     reuse_embeddings,
+    store_cache,
     store_corpus,
     store_trees,
     stored_root,
@@ -256,6 +258,12 @@ def reused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse_embeddings(*_chunks_and_cache(spark, sf_dir))
 
 
+def reused_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reuse, from a cache that is stored by hash."""
+    chunks, cache = _chunks_and_cache(spark, sf_dir)
+    return reuse_embeddings(chunks, store_cache(cache, f"chunkloom_cache_{uuid.uuid4().hex}"))
+
+
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_chunks(*_chunks_and_cache(spark, sf_dir)).select("chunk_hash", "n_copies")
 
@@ -413,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chunk_diff": chunk_diff,
         "tree_diff": tree_diff,
         "reuse_embeddings": reused,
+        "stored_cache": reused_from_table,
         "pending_chunks": pending,
         "manifest_latest": manifest_latest,
         "source_tree": source_tree,
