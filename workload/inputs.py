@@ -25,6 +25,15 @@ CASE WHEN doc_id % 50 = 7 THEN '  \n' ELSE concat(
   CASE WHEN doc_id % 10 = 0 THEN '\n# Erro\n' WHEN doc_id % 2 = 0 THEN '\n' ELSE '' END) END
 """
 
+# The same with definitions inside others, and comments and decorators above classes.
+_NESTED = r"""
+array_join(transform(split(text, '\n', -1), (l, i) ->
+  CASE WHEN i % 5 = 0 THEN concat('def fn_', i, '(a, b):\n    ', l)
+       WHEN i % 5 = 2 THEN concat('    def inner_', i, '(self):\n        ', l)
+       WHEN i % 5 = 3 THEN concat('# About K', i, '\n@wrap\nclass K', i, ':\n    # ', l)
+       ELSE concat('    ', l) END), '\n')
+"""
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_spread(spark, f"{sf_dir}/documents.parquet", "doc_id")
@@ -40,6 +49,11 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.expr(_PATH).alias("path"), content)
 
 
+def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = F.explode(F.array(F.expr(_NESTED))).alias("content")
+    return documents(spark, sf_dir).select(F.expr(_PATH).alias("path"), content)
+
+
 def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The paths of all source files; the texts are not read."""
     return documents(spark, sf_dir).select(F.expr(_PATH).alias("path"))

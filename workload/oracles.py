@@ -20,6 +20,16 @@ code_files AS (
            WHEN doc_id % 2 = 0 THEN chr(10) ELSE '' END) END AS content
   FROM documents)"""
 
+_NESTED_FILES = f"""
+files AS (SELECT {_PATH} AS path,
+    array_to_string(list_transform(string_split(text, chr(10)), lambda l, i:
+      CASE WHEN (i - 1) % 5 = 0 THEN concat('def fn_', i - 1, '(a, b):', chr(10), '    ', l)
+           WHEN (i - 1) % 5 = 2 THEN concat('    def inner_', i - 1, '(self):', chr(10), '        ', l)
+           WHEN (i - 1) % 5 = 3 THEN concat('# About K', i - 1, chr(10), '@wrap', chr(10),
+             'class K', i - 1, ':', chr(10), '    # ', l)
+           ELSE concat('    ', l) END), chr(10)) AS content
+  FROM documents)"""
+
 ALL_FILES = "files AS (SELECT path, content FROM code_files)"
 KNOWN_FILES = "files AS (SELECT path, content FROM code_files WHERE doc_id % 3 = 0)"
 
@@ -255,6 +265,12 @@ def _oracle_sql() -> dict[str, str]:
         "chunks_top_level": _with(
             f"{_FILES}, {_TOP_LEVEL}", "SELECT path, chunk_index, chunk FROM top_chunks"
         ),
+        "chunks_nested_top_level": _with(
+            f"{_NESTED_FILES}, {_TOP_LEVEL}", "SELECT path, chunk_index, chunk FROM top_chunks"
+        ),
+        "chunks_nested_line": _with(
+            f"{_NESTED_FILES}, {_chunks()}", "SELECT path, chunk_index, chunk FROM chunks"
+        ),
         "chunk_counts": _with(
             chunks, "SELECT path, count(*)::int AS n_chunks FROM chunks GROUP BY path"
         ),

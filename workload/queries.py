@@ -95,6 +95,15 @@ def chunks_top_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_chunks(chunk(inputs.files(spark, sf_dir), mode="top_level"))
 
 
+def nested_top_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indented definitions open no chunk, and decorators and comments stay with theirs."""
+    return explode_chunks(chunk(inputs.nested_files(spark, sf_dir), mode="top_level"))
+
+
+def nested_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_chunks(chunk(inputs.nested_files(spark, sf_dir)))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_counts(chunk(inputs.files(spark, sf_dir)))
 
@@ -396,6 +405,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chunks_line": chunks_line,
         "chunks_custom_pattern": chunks_custom_pattern,
         "chunks_top_level": chunks_top_level,
+        "chunks_nested_top_level": nested_top_level,
+        "chunks_nested_line": nested_line,
         "chunk_counts": counts,
         "line_spans": spans,
         "leaf_hashes": leaf_hashes,
