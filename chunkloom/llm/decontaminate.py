@@ -53,19 +53,35 @@ def shingle_hashes(text: str) -> Column:
 
 def simhash(hashes: str) -> Column:
     """60 bits: which bits more than half of the hashes have, each as often as it occurs."""
+    # Bits b and b + 32 are counted in one pass, in the halves of a long.
     return F.expr(
-        f"""aggregate(sequence(0, {BLOCKS * BLOCK_BITS - 1}), 0L, (bits, b) -> bits | shiftleft(
-            CASE WHEN 2 * aggregate({hashes}, 0, (n, x) -> n + CAST(getbit(x, b) AS INT))
-                      > size({hashes}) THEN 1L ELSE 0L END, b))"""
+        f"""aggregate(sequence(0, {BLOCKS * BLOCK_BITS // 2 - 1}), 0L, (bits, b) -> bits | transform(array(
+            aggregate({hashes}, 0L, (n, x) -> n + (shiftrightunsigned(x, b) & {1 << 32 | 1}L))), n ->
+            shiftleft(CASE WHEN 2 * (n & {(1 << 32) - 1}L) > size({hashes}) THEN 1L ELSE 0L END, 2 * b)
+            | shiftleft(CASE WHEN 2 * shiftright(n, 32) > size({hashes}) THEN 1L ELSE 0L END, 2 * b + 1))[0])"""
+    )
+
+
+def bag(hashes: str) -> Column:
+    """A multiset of hashes as a set: each hash together with the number of its occurrence.
+
+    Two of them have as many members in common as the multisets, so that a pair is
+    compared in time linear in its length.
+    """
+    first = "filter(sequence(0, size(s) - 1), i -> i = 0 OR get(s, i) <> get(s, i - 1))"
+    numbered = f"""transform(array({first}), f -> flatten(transform(f, (i, k) -> transform(
+        sequence(1, coalesce(get(f, k + 1), size(s)) - i), c -> xxhash64(get(s, i), c)))))[0]"""
+    return F.expr(
+        f"""transform(array(sort_array({hashes})), s -> CASE WHEN size(s) > 0 THEN {numbered}
+            ELSE CAST(array() AS array<bigint>) END)[0]"""
     )
 
 
 def weighted_similarity(a: str, b: str) -> Column:
-    """Common weight of two multisets of hashes over their joint weight."""
-    common = f"""aggregate(array_intersect({a}, {b}), 0, (n, x) -> n + least(
-        size(filter({a}, y -> y = x)), size(filter({b}, y -> y = x))))"""
+    """Common weight of two multisets, given as bags, over their joint weight."""
     return F.expr(
-        f"transform(array({common}), c -> c / CAST(size({a}) + size({b}) - c AS DOUBLE))[0]"
+        f"""transform(array(size(array_intersect({a}, {b}))),
+            c -> c / CAST(size({a}) + size({b}) - c AS DOUBLE))[0]"""
     )
 
 
@@ -142,8 +158,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     listed = stage(
         items.select("item_id", shingle_hashes("text").alias("item"))
         .filter("size(item) > 0")
-        .withColumn("m", F.size("item"))
-        .withColumn("item_bits", simhash("item")),
+        .withColumns({"m": F.size("item"), "item_bits": simhash("item"), "item_bag": bag("item")}),
         "items",
     )
     marks = stage(
@@ -159,7 +174,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     # The same passage in many documents is one window from here on.
     distinct = stage(
-        placed.select("m", "one", "two", "window").distinct().withColumn("bits", simhash("window")),
+        placed.select("m", "one", "two", "window")
+        .distinct()
+        .select("m", "one", "two", simhash("window").alias("bits"), bag("window").alias("bag")),
         "fingerprints",
     )
     each_block = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
@@ -177,10 +194,10 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         .distinct()
     )
     compared = candidates.join(distinct.drop("bits"), ["m", "one", "two"]).join(
-        listed.select("m", "item_id", "item"), ["m", "item_id"]
+        listed.select("m", "item_id", "item_bag"), ["m", "item_id"]
     )
     similar = stage(
-        compared.withColumn("similarity", weighted_similarity("window", "item"))
+        compared.withColumn("similarity", weighted_similarity("bag", "item_bag"))
         .filter(F.col("similarity") * 100 >= PERCENT)
         .select("m", "one", "two", "item_id", "similarity"),
         "similar",
