@@ -9,7 +9,7 @@ stretches, and once the states at its ends are known each block is decoded on it
 So a conversation of any length is spread over tasks and the result is exact.
 
 Defined cases: a null text is an empty line; rows with a null conversation id form one
-conversation of their own; lines that agree in order keep any order; without
+conversation of their own, whose id stays null; ids may have any type that has a text; lines that agree in order keep any order; without
 labelled lines all states are equally likely; an empty table gives no rows.
 """
 
@@ -170,7 +170,7 @@ def _matrices(shared):
             yield pa.RecordBatch.from_pydict(
                 {"conv_id": [conv], "block": [block], "matrix": [matrix.ravel().tolist()]},
                 schema=pa.schema(
-                    [("conv_id", pa.int64()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))]
+                    [("conv_id", pa.string()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))]
                 ),
             )
 
@@ -191,7 +191,7 @@ def _products(states: int):
             yield pa.RecordBatch.from_pydict(
                 {"conv_id": [conv], "block": [stretch], "matrix": [total.ravel().tolist()]},
                 schema=pa.schema(
-                    [("conv_id", pa.int64()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))]
+                    [("conv_id", pa.string()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))]
                 ),
             )
 
@@ -224,15 +224,15 @@ def _ends(states: int):
                     "at_end": path,
                 },
                 schema=pa.schema(
-                    [("conv_id", pa.int64()), ("block", pa.int64()), ("before", pa.int32()), ("at_end", pa.int32())]
+                    [("conv_id", pa.string()), ("block", pa.int64()), ("before", pa.int32()), ("at_end", pa.int32())]
                 ),
             )
 
     return run
 
 
-_MATRIX = "conv_id bigint, block bigint, matrix array<double>"
-_END = "conv_id bigint, block bigint, before int, at_end int"
+_MATRIX = "conv_id string, block bigint, matrix array<double>"
+_END = "conv_id string, block bigint, before int, at_end int"
 
 
 def _sorted_groups(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -275,7 +275,7 @@ def _states(shared):
                     "text": table.column("text").to_pylist(),
                 },
                 schema=pa.schema(
-                    [("conv_id", pa.int64()), ("line", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("text", pa.string())]
+                    [("conv_id", pa.string()), ("line", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("text", pa.string())]
                 ),
             )
 
@@ -327,7 +327,11 @@ def parse_transcripts(lines: DataFrame, order_by: Sequence[str], model: Model) -
     ``<|role|>`` stands on a line before each turn, whose marker is gone.  Lines that
     open no turn keep their whole text, also if they look like a marker.
     """
-    known = lines.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("bigint"), F.lit(-1).cast("bigint")))
+    # Within the operator an id of any type is a text that no null id can equal.
+    kind = lines.schema["conv_id"].dataType
+    known = lines.withColumn(
+        "conv_id", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    )
     shared = lines.sparkSession.sparkContext.broadcast(model)
     numbered = stage(
         number_rows(with_symbols(known), list(order_by), within=["conv_id"], name="line")
@@ -348,13 +352,14 @@ def parse_transcripts(lines: DataFrame, order_by: Sequence[str], model: Model) -
     )
     found = stage(
         _sorted_groups(decoded, ["conv_id", "block"], "line").mapInArrow(
-            _states(shared), "conv_id bigint, line bigint, role string, opens boolean, text string"
+            _states(shared), "conv_id string, line bigint, role string, opens boolean, text string"
         ),
         "states",
     )
     header = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.regexp_replace("text", MARKER, ""))
+    own_id = F.when(F.col("conv_id") != "", F.expr("substring(conv_id, 2)")).cast(kind)
     return _turns(found).select(
-        "conv_id", "line", "turn", "role",
+        own_id.alias("conv_id"), "line", "turn", "role",
         F.when(F.col("opens"), header).otherwise(F.col("text")).alias("rendered"),
     )
 

@@ -178,10 +178,10 @@ def test_chat_blocks_equal_whole_viterbi(spark, monkeypatch):
     table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     lines, order = chat.transcripts(table), ["turn_no", "line_no"]
     model = chat.train(lines, order)
-    got = sorted(chat.parse_transcripts(lines, order, model).collect(), key=lambda r: (r.conv_id, r.line))
+    got = sorted(chat.parse_transcripts(lines, order, model).collect(), key=lambda r: (r.conv_id is None, r.conv_id or 0, r.line))
     seen = chat.with_symbols(lines.filter("conv_id = 1")).orderBy(*order).collect()
     symbols = np.array([[r[s] for s in chat.SYMBOLS] for r in seen])
     states = model.decode(symbols, None, None)
     assert [r.role for r in got if r.conv_id == 1] == [model.roles[s // 2] for s in states]
-    assert len(got) == lines.count()
+    assert len(got) == lines.count() and [r.line for r in got if r.conv_id is None] == [0]
     assert chat.parse_transcripts(lines.limit(0), order, model).count() == 0
