@@ -12,6 +12,7 @@ repeated; licenses with equal canonical texts are all reported.
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,11 +116,16 @@ def _not_begun(words: tuple[str, ...], also: str = "") -> str:
     return "|".join(rest)
 
 
-# A copyright line may stand behind the leader of a comment.  A line of running text that
-# happens to begin with the word is none.
-RUNNING = ("notice", "holder", "owner", "license", "licence", "law", "statement", "on the")
+# A copyright line may stand behind the leader of a comment.  It has a sign, a year or a holder.
+# A line of running text that happens to begin with the word, or a clause (c), is none, so
+# that a text filled to another width loses no words.
+RUNNING = (
+    "notice", "holder", "owner", "license", "licence", "law", "statement", "on the", "the software",
+    "permission", "treaty", "doctrine", "and ", "or ", "are ", "if you",
+)
 COPYRIGHT = (
-    r"(?m)^[ \t#*/;%!<>-]*(?:(?:\(c\)|©)[^\n]*|copyright(?:$|[^\p{L} \t\n][^\n]*|[ \t]+(?:"
+    r"(?m)^[ \t#*/;%!<>-]*(?:©[^\n]*|\(c\)[ \t]*(?:copyright|©|[0-9<\[])[^\n]*"
+    r"|copyright(?:[(©:0-9<\[][^\n]*|[ \t]+(?:"
     + _not_begun(RUNNING, r" \t")
     + r")))$"
 )
@@ -143,11 +149,17 @@ def canonical(text: Column) -> Column:
 
 
 def full_texts() -> list[tuple[str, str]]:
-    """``(license_id, text)`` of full licenses up to the end of their terms."""
+    """``(license_id, text)`` of full licenses up to the end of their terms, and of the part below a header."""
     rows = [("MIT", MIT), ("ISC", ISC), ("BSD-2-Clause", BSD_2 + BSD_END), ("BSD-3-Clause", BSD_2 + BSD_3 + BSD_END)]
     for license_id in TEXTS:
         terms, end, _ = _file(license_id).partition(END_OF_TERMS)
         rows.append((license_id, terms + end))
+        # Where lines are filled anew, a copyright line of the header takes other words with it;
+        # what stands below the header has none.
+        paragraphs = re.split(r"\n[ \t]*\n", terms + end)
+        heads = [i for i, x in enumerate(paragraphs[:4]) if re.search(r"copyright \(c\)", x, re.I)]
+        if heads:
+            rows.append((license_id, "\n\n".join(paragraphs[heads[-1] + 1 :])))
     return rows
 
 
