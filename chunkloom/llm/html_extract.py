@@ -29,8 +29,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: About so many pages are learned from, chosen by a hash of the id.
+#: About so many pages are learned from, chosen by a hash of id and address.
 SAMPLE = 2_000
+#: At most so many nodes of them go to the driver, the first by a hash.
+NODES = 500_000
 
 # Kinds of elements in HTML.
 BLOCKS = frozenset(
@@ -275,12 +277,14 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
     import numpy as np
 
     share = min(1.0, sample / max(pages.count(), 1))
-    chosen = pages.filter(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = (chosen if share < 1 else pages).select("html").mapInArrow(
+    chosen = pages.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = (chosen if share < 1 else pages).select("html").mapInArrow(
         _labelled_nodes,
         "tag string, good boolean, bad boolean, inside boolean, above boolean, "
         "length double, links double, stops double",
-    ).toPandas()
+    )
+    # Pages that share an id come in together, and one page may be huge: the bound is on nodes.
+    rows = found.orderBy(F.xxhash64(*found.columns)).limit(NODES).toPandas()
     prior = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
     child = np.array([[[99.0, 1.0], [1.0, 9.0]], [[1.0, 1.0], [1.0, 9.0]]])
     weights, content = prior.copy(), 0.5

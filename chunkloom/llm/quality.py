@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.llm.common import held_out
 
-#: About so many labelled rows are learned from, chosen by a hash of the id.
+#: At most so many labelled rows are learned from, the first by a hash.
 SAMPLE = 20_000
 THRESHOLD = 0.7
 TREES, DEPTH, CUTS, RATE = 24, 3, 24, 0.3
@@ -173,12 +173,12 @@ def compile_score(rules: list[tuple[Rule, float]], intercept: float) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """Rules and intercept from the labelled rows that are not held out."""
     usable = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out())
-    share = min(1.0, sample / max(usable.count(), 1))
-    if share < 1:
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    chosen = F.broadcast(usable.select(F.col("doc_id").alias("__llm_label_id"), "quality"))
-    known = docs.join(chosen, docs["doc_id"] == F.col("__llm_label_id"))
-    rows = with_statistics(known.select("text", "quality"), [F.col("quality")]).toPandas()
+    # The first rows by hash: a bound that holds also where rows share an id.
+    first = usable.select(F.col("doc_id").alias("__llm_label_id"), "quality")
+    chosen = first.orderBy(F.xxhash64("__llm_label_id"), *first.columns).limit(sample)
+    known = docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("__llm_label_id"))
+    found = with_statistics(known.select("text", "quality"), [F.col("quality")])
+    rows = found.orderBy(F.xxhash64(*found.columns)).limit(sample).toPandas()
     names = [f"q_{n}" for n in statistics()]
     return fit(rows[names].to_numpy(float), rows["quality"].to_numpy(float))
 
