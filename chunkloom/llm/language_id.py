@@ -23,6 +23,8 @@ from chunkloom.llm.common import held_out
 LOG_BUCKETS = 15
 #: About so many labelled rows are learned from, chosen by a hash of the id.
 SAMPLE = 20_000
+#: Of a language with fewer sampled rows, about so many are learned from instead.
+LEAST = 500
 #: So many characters of a text are worked on at a time.
 BLOCK = 1 << 16
 
@@ -72,7 +74,12 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE):
     labelled = docs.filter(learn & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = min(1.0, sample / max(sum(sizes.values()), 1))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    # A rare language is learned from more of its rows than a frequent one.
+    above = F.lit(0)
+    for lang, size in sizes.items():
+        cut = int(min(1.0, max(share, LEAST / size)) * (1 << 20)) + 1
+        above = F.when(F.col("lang") == lang, cut).otherwise(above)
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < above
     rows = (
         (labelled.filter(chosen) if share < 1 else labelled)
         .select("lang", "text")
@@ -95,19 +102,16 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE):
 
 def _score(shared):
     def score(batches: Iterator) -> Iterator:
-        import re
-
         import numpy as np
         import pyarrow as pa
 
         languages, matrix, prior = shared.value
         rows = np.ascontiguousarray(matrix.T)
-        letter = re.compile(r"[^\W\d_]")
         for batch in batches:
             found, scores = [], []
             for text in batch.column(1):
                 value = text.as_py()
-                if not languages or not value or not letter.search(value):
+                if not languages or not value or not any(map(str.isalpha, value)):
                     found.append("und")
                     scores.append(0.0)
                     continue
