@@ -4,7 +4,8 @@ A text is lower-cased, its copyright lines go, equivalent spellings become one,
 punctuation and white space shrink to single spaces.  The SHA-256 of what is left is
 joined with the digests of known licenses.  The whole text of a document, each of its
 lines, and each run of words that begins like a full license text and is as long as it
-are looked up, so a text is found below other content and under any line breaks.
+are looked up, so a text is found below other content and filled to other widths, unless
+a line ends within a hyphenated word that has another spelling.
 
 Defined cases: null texts and parts without any word match nothing; ids may be null or
 repeated; licenses with equal canonical texts are all reported.
