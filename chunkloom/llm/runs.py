@@ -141,13 +141,18 @@ class Extensions:
         return found
 
 
-def _grid(words: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs ``(i, period)`` of equal words on the grids of all periods up to ``longest``."""
+def _grid(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs ``(i, period)`` of equal words of one text on the grids of all its periods.
+
+    ``sizes`` are the lengths of the texts with their separators.
+    """
     n = len(words)
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     places, periods = [], []
-    for q in range(1, longest + 1):
+    for q in range(1, int(sizes.max() - 1) // LEAST_PERIODS + 1):
         step = (LEAST_PERIODS - 1) * q
         at = np.flatnonzero(words[: n - q : step] == words[q::step])
+        at = at[of[at * step] == of[at * step + q]]  # copies among texts are no repeats
         if len(at):
             places.append(at * step)
             periods.append(np.full(len(at), q, np.int64))
@@ -184,7 +189,7 @@ def find_runs(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
     the place in ``ends``, is a separator that stands nowhere else.
     """
     sizes = np.diff(ends, prepend=0)
-    place, period = _grid(words, int(sizes.max() - 1) // LEAST_PERIODS)
+    place, period = _grid(words, sizes)
     ahead = _extended(words, ends, place, place + period)
     # Texts backwards, each with its separator behind it as before.
     last = np.repeat(ends + ends - sizes - 2, sizes)  # place + mirror of each word

@@ -89,6 +89,18 @@ def test_runs_equal_brute_force(monkeypatch, together):
         assert row[5] == "".join(f"{s},{e - s},{q}\n" for s, e, q in want)
 
 
+def test_copies_among_texts():
+    unique = lambda name, n: [f"{name}{i}".encode() for i in range(n)]
+    copy = unique("c", 40)
+    got = runs._described([copy, unique("a", 100), copy, unique("b", 1000)])
+    assert [row[0] for row in got] == [0] * 4
+    rng = random.Random(13)
+    some = [[w.encode() for w in repetitive(rng)] for _ in range(12)]
+    texts = [rng.choice(some) + rng.choice(some) for _ in range(80)] + [unique("d", 9000)]
+    for words, row in zip(texts, runs._described(texts)):
+        assert row[5] == "".join(f"{s},{e - s},{q}\n" for s, e, q in brute(words))
+
+
 def test_query(spark, tmp_path):
     rng = random.Random(12)
     texts = [" ".join(repetitive(rng)) for _ in range(300)]
