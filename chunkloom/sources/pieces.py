@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.functions.text import normalize_newlines
-from chunkloom.sources.tree import BATCH_BYTES, BYTES_PER_TASK, LARGEST, LASTING, listed, open_file
+from chunkloom.sources.tree import BATCH_BYTES, BATCH_ROWS, BYTES_PER_TASK, LARGEST, LASTING, listed, open_file
 
 _PIECE = "path string, piece bigint, content binary, error string"
 PIECE_BYTES = 32 << 20
@@ -82,7 +82,7 @@ def _piece_reader(piece_bytes: int):
                     content, error = None, f"{type(e).__name__}: {e}"
                 if content is None and error is None:
                     continue
-                if rows and held + len(content or b"") > BATCH_BYTES:
+                if rows and (held + len(content or b"") > BATCH_BYTES or len(rows) >= BATCH_ROWS):
                     yield pack(rows)
                     rows, held = [], 0
                 rows.append((path, piece, content, error))

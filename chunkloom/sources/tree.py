@@ -20,8 +20,11 @@ _LISTING = "path string, is_dir boolean, length bigint, error string"
 _CONTENT = "path string, content binary, error string"
 BYTES_PER_TASK = 64 << 20
 LARGEST = 2**31 - 1
-#: Content that one Arrow batch holds, unless a single file has more.
-BATCH_BYTES = 16 << 20
+#: Content that one Arrow batch holds, unless a single file has more.  A task holds it a few
+#: times over: as values, as a column and as the message to Spark.
+BATCH_BYTES = 1 << 20
+#: Rows that one Arrow batch holds, whatever they hold.
+BATCH_ROWS = 10_000
 # The kinds of URI that the readers inside the tasks can open.
 SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
 # Errors that another try would meet again.
@@ -103,7 +106,7 @@ def _lister(suffix: str, skip: str):
                     for name, is_dir, size in entries(folder):
                         if not is_dir or name != skip:
                             rows.append((os.path.join(folder, name), is_dir, size, None))
-                        if len(rows) >= 10_000:
+                        if len(rows) >= BATCH_ROWS:
                             yield pack(rows)
                             rows = []
                 except LASTING as e:
@@ -154,7 +157,7 @@ def _reader():
                 content = None
                 if error is None and length >= LARGEST:
                     error = "larger than one value can be: read it in pieces"  # known before
-                if rows and held + length > BATCH_BYTES:
+                if rows and (held + length > BATCH_BYTES or len(rows) >= BATCH_ROWS):
                     yield pack(rows)
                     rows, held = [], 0
                 if error is None:

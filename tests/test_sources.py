@@ -1,6 +1,7 @@
 import os
 
 import models
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,10 @@ from chunkloom.sources import (
     rejected_files,
     write_index,
 )
+from chunkloom.sources.pieces import _piece_reader
 from chunkloom.sources.staging import shared_dir, stage
+from chunkloom.sources.tree import _reader
+from workload.queries import _writer
 
 TREE = {
     "pkg/__init__.py": b"x = 1\n",
@@ -140,3 +144,34 @@ def test_staging(spark):
     staged = stage(df, "t")
     assert sorted(staged.collect()) == sorted(staged.collect())
     assert staged.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark).removeprefix("file:"))
+
+
+def test_small_batches(tmp_path):
+    """Tasks hold little at a time, however many rows one brings them."""
+    content = b"x = 1\n" * 50_000
+    (tmp_path / "a.py").write_bytes(content)
+    (tmp_path / "empty.py").write_bytes(b"")
+    paths = [str(tmp_path / "a.py")] * 40 + [str(tmp_path / "empty.py")] * 12_000
+    sizes = [len(content)] * 40 + [0] * 12_000
+    listing = pa.RecordBatch.from_arrays(
+        [pa.array(paths), pa.array(sizes, pa.int64()), pa.nulls(len(paths), pa.string())], ["path", "length", "error"]
+    )
+    ranges = pa.RecordBatch.from_arrays(
+        [pa.array(paths), pa.array([0] * len(paths), pa.int64()), pa.array(sizes, pa.int64())], ["path", "piece", "length"]
+    )
+    for got in (list(_reader()(iter([listing]))), list(_piece_reader(1 << 20)(iter([ranges])))):
+        assert [p for b in got for p in b.column("path").to_pylist()] == paths
+        assert [len(c) for b in got for c in b.column("content").to_pylist()] == sizes
+        assert max(b.nbytes for b in got) < 4 << 20
+        assert max(b.num_rows for b in got) <= 10_000
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_files_are_written_one_by_one(tmp_path, scheme):
+    def rows():
+        for k in range(5):
+            yield {"path": f"d{k % 2}/e/f{k}.py", "content": bytearray(b"%d" % k)}
+            assert (tmp_path / f"d{k % 2}/e/f{k}.py").read_bytes() == b"%d" % k
+
+    _writer(f"{scheme}{tmp_path}")(rows())
+    assert len(list(tmp_path.rglob("*.py"))) == 5
