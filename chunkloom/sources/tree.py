@@ -186,7 +186,8 @@ def listed(spark: SparkSession, root: str, suffix: str, skip: str) -> DataFrame:
         return spark.createDataFrame([], "path string, length bigint, error string")
     base = fresh_path(spark, "listing")
     slots = spark.sparkContext.defaultParallelism
-    frontier = spark.createDataFrame([(root,)], "path string")
+    # A row that Spark makes itself: one sent from here would start a second set of Python workers.
+    frontier = spark.range(1).select(F.lit(root).alias("path"))
     level = 0
     while not frontier.isEmpty():
         folder = f"{base}/level={level}"

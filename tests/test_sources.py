@@ -20,6 +20,7 @@ from chunkloom.sources import (
 from chunkloom.sources.pieces import _piece_reader
 from chunkloom.sources.staging import shared_dir, stage
 from chunkloom.sources.tree import _reader
+from workload import queries
 from workload.queries import _writer
 
 TREE = {
@@ -175,3 +176,42 @@ def test_files_are_written_one_by_one(tmp_path, scheme):
 
     _writer(f"{scheme}{tmp_path}")(rows())
     assert len(list(tmp_path.rglob("*.py"))) == 5
+
+
+def test_long_texts_behind_short_ones_are_written_in_small_batches(spark, tmp_path, monkeypatch):
+    """What a task holds depends neither on its rows nor on those before them."""
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def writer(root):
+        def write(rows):
+            start, most, n = resident(), 0, 0
+            for n, row in enumerate(rows, 1):
+                most = max(most, resident() - start) if n % 50 == 0 else most
+            (tmp_path / "held").write_text(f"{n} {most}")
+
+        return write
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    content = F.when(F.col("id") < 17_000, F.lit("x")).otherwise(F.repeat(F.lit("0123456789"), F.lit(10_000)))
+    files = spark.range(0, 19_000, 1, 1).select(
+        F.concat("id", F.lit(".py")).alias("path"), content.cast("binary").alias("content")
+    )
+    monkeypatch.setattr(queries, "_writer", writer)
+    queries._write_tree(files, "unused")
+    n, most = map(int, (tmp_path / "held").read_text().split())
+    assert n == 19_000
+    assert most < 100 << 20
+    assert spark.conf.get(key) == before
+
+
+def test_tree_is_written_whole(spark, tmp_path):
+    contents = [b"", b"x = 1\n", b"\xff\xfe", b"\x00" * (3 << 20), "# \u00e9\n".encode()]
+    files = [(f"d{k % 2}/f{k}.py", bytearray(c)) for k, c in enumerate(contents)]
+    queries._write_tree(spark.createDataFrame(files, "path string, content binary"), str(tmp_path))
+    assert {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*.py")} == {
+        path: bytes(content) for path, content in files
+    }
